@@ -53,21 +53,10 @@ def scale_grid() -> list[float]:
 
 
 def scale_scores(df: DataFrame, real: str = "tn_real", pred: str = "tn") -> DataFrame:
-    """WAPE for every scale of the grid, in one pass: a sum per scale, no row is repeated."""
-    scales = scale_grid()
-    sums = [F.sum(F.abs(F.col(real) - F.col(pred) * F.lit(s))).alias(f"_e{i}") for i, s in enumerate(scales)]
-    row = df.agg(F.sum(real).alias("_real"), *sums)
-    total = F.col("_real")
-    scored = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("scale"),
-                F.when(total > 0, F.col(f"_e{i}") / total).otherwise(F.lit(float("nan"))).alias("wape"),
-            )
-            for i, s in enumerate(scales)
-        ]
-    )
-    return row.select(F.inline(scored))
+    """WAPE for every scale of the grid; each task keeps one running sum per scale."""
+    each = F.explode(F.array(*[F.lit(s) for s in scale_grid()])).alias("scale")
+    rows = df.select(F.col(real).alias("_real"), F.col(pred).alias("_pred"), each)
+    return rows.groupBy("scale").agg(wape_of("_real", F.col("_pred") * F.col("scale")).alias("wape"))
 
 
 def best_scale(df: DataFrame, real: str = "tn_real", pred: str = "tn") -> DataFrame:

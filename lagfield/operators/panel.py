@@ -181,6 +181,20 @@ def training_rows(table: DataFrame, anchor: int, horizon: int = 2, target: str =
     return table.where((F.col("periodo") <= shift_period(anchor, -horizon)) & F.col(target).isNotNull())
 
 
+def split_counts(table: DataFrame, anchors: Sequence[int], horizon: int = 2, target: str = "target") -> DataFrame:
+    """Training and validation rows of each anchor, counted in one pass."""
+    known = F.col(target).isNotNull()
+    counts = [
+        F.struct(
+            F.lit(a).alias("anchor"),
+            F.count_if((F.col("periodo") <= shift_period(a, -horizon)) & known).alias("train_rows"),
+            F.count_if((F.col("periodo") == a) & known).alias("val_rows"),
+        )
+        for a in anchors
+    ]
+    return table.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+
+
 def anchor_rows(table: DataFrame, anchor: int, target: str | None = "target") -> DataFrame:
     rows = table.where(F.col("periodo") == anchor)
     return rows if target is None else rows.where(F.col(target).isNotNull())
