@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lagfield.functions import series as S
 from lagfield.functions.scalars import STOCK_EPS, ratio
-from lagfield.operators.relational import category_codes, first_per_key, is_small
+from lagfield.operators.relational import attach, category_codes, first_per_key
+from lagfield.session import stored
 
 # fixed values: lags of the stock columns
 STOCK_LAGS = (1, 2, 3, 6, 12)
@@ -50,11 +51,8 @@ def coded_attributes(attributes: DataFrame, names: dict[str, str]) -> DataFrame:
     """Replace category columns by integer codes in ascending order of the category."""
     out = attributes
     for source, target in names.items():
-        codes = category_codes(attributes, source).select(
-            F.col(source).alias("_category"), F.col("code").alias(f"_code_{target}")
-        )
-        side = F.broadcast(codes) if is_small(codes) else codes
-        out = out.join(side, F.col(source) == F.col("_category"), "left").drop("_category")
+        codes = category_codes(attributes, source).withColumnRenamed("code", f"_code_{target}")
+        out = attach(out, stored(codes, "codes"), [source], ["product_id"])
     keep = [c for c in attributes.columns if c not in names]
     return out.select(*keep, *[F.col(f"_code_{t}").alias(t) for t in names.values()])
 

@@ -56,7 +56,8 @@ def _joined(history: DataFrame, cfg: ProductConfig, attributes: DataFrame | None
     if cfg.shares:
         universe = df.groupBy("periodo").agg(F.sum("tn").alias("_universe"))
         category = df.groupBy("_cat3", "periodo").agg(F.sum("tn").alias("_category"))
-        df = attach(df, stored(universe, "universe"), ["periodo"], spread)
+        # one row per month
+        df = df.join(F.broadcast(universe), "periodo", "left")
         df = attach(df, stored(category, "category"), ["_cat3", "periodo"], spread)
     if cfg.stocks:
         if stocks is None:
