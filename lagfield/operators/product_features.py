@@ -52,7 +52,7 @@ def _joined(history: DataFrame, cfg: ProductConfig, attributes: DataFrame | None
             traits = traits.select("product_id", F.col("cat3").alias("_cat3")).join(coded, "product_id")
         else:
             traits = traits.select("product_id", F.col("cat3").alias("_cat3"))
-        df = attach(df, stored(traits, "traits"), ["product_id"], spread)
+        df = attach(df, traits, ["product_id"], spread)
     if cfg.shares:
         universe = df.groupBy("periodo").agg(F.sum("tn").alias("_universe"))
         category = df.groupBy("_cat3", "periodo").agg(F.sum("tn").alias("_category"))
@@ -80,7 +80,6 @@ def build_features(
     kinds = ("mean", "std", "max", "min")
 
     windowed = {f"lag_{n}": S.lag("tn", n, w) for n in cfg.lags}
-    windowed |= X.rolling_columns("tn", cfg.windows, w, kinds)
     windowed["target"] = S.lag("tn", -cfg.horizon, w)
     if cfg.deltas:
         windowed |= {"_tn_1": S.lag("tn", 1, w), "_tn_12": S.lag("tn", 12, w)}
@@ -90,9 +89,9 @@ def build_features(
         windowed |= {"_universe_12": S.lag("_universe", 12, w), "_category_12": S.lag("_category", 12, w)}
     if cfg.stocks:
         windowed |= X.lag_columns("stock_0", X.STOCK_LAGS, w, "stock_lag_")
-    df = X.with_columns(df, windowed)
+    df = X.with_rolling(X.with_columns(df, windowed), "tn", cfg.windows, w, kinds)
 
-    feats = [f"lag_{n}" for n in cfg.lags] + list(X.rolling_columns("tn", cfg.windows, w, kinds))
+    feats = [f"lag_{n}" for n in cfg.lags] + X.rolling_names(cfg.windows, kinds)
     categorical: list[str] = []
     derived = {}
     if cfg.deltas:

@@ -15,6 +15,8 @@ from lagfield.session import stored
 SMALL_ROWS = 200_000
 # Distinct values looked at to place the bucket bounds of a distributed running sum.
 BOUND_SAMPLE = 8_192
+# Stands between a column name and a category; sorts before any printable text.
+_MARK = "\u0001"
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -210,10 +212,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], limit: in
     ]
 
 
-def category_codes(df: DataFrame, column: str, limit: int = SMALL_ROWS) -> DataFrame:
-    """Distinct non-null categories with codes 0.. in ascending order."""
-    run = running_by_value(df.select(column).distinct(), column, {"one": F.count(F.lit(1))}, limit=limit)
-    return run.select(column, (F.col("run_one") - 1).cast("int").alias("code"))
+def category_codes(df: DataFrame, columns: Sequence[str], limit: int = SMALL_ROWS) -> DataFrame:
+    """``kind, category, code``: the distinct non-null texts of each column, numbered from 0 in order."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("category")) for c in columns])
+    texts = df.select(F.inline(pairs)).where(F.col("category").isNotNull()).distinct()
+    keyed = texts.select(F.concat("kind", F.lit(_MARK), "category").alias("_key"))
+    run = running_by_value(keyed, "_key", {"one": F.count(F.lit(1))}, limit=limit).select(
+        F.substring_index("_key", _MARK, 1).alias("kind"),
+        F.expr(f"substr(_key, instr(_key, '{_MARK}') + 1)").alias("category"),
+        "run_one",
+    )
+    # one row per column
+    first = run.groupBy("kind").agg(F.min("run_one").alias("_first"))
+    joined = run.join(F.broadcast(first), "kind")
+    return joined.select("kind", "category", (F.col("run_one") - F.col("_first")).cast("int").alias("code"))
 
 
 def smallest_row(df: DataFrame, key: str, score: str) -> DataFrame:

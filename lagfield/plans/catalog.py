@@ -195,29 +195,20 @@ def complete_rows(spark, d):
 # --- window features -------------------------------------------------------
 
 
-def _windowed(spark, d, cols):
-    return tidy(X.with_columns(panel(spark, d).select(*GRAIN, "tn"), cols).drop("tn"))
-
-
 def rolling_full_window(spark, d):
-    w = S.series(PAIR)
-    return _windowed(spark, d, X.rolling_columns("tn", (3, 6, 9, 12), w, ("mean", "std", "max", "min")))
+    rows = panel(spark, d).select(*GRAIN, "tn")
+    return tidy(X.with_rolling(rows, "tn", (3, 6, 9, 12), S.series(PAIR), ("mean", "std", "max", "min")).drop("tn"))
 
 
 def rolling_median(spark, d):
-    w = S.series(PAIR)
-    return _windowed(spark, d, X.rolling_columns("tn", (3, 6, 9, 12, 24), w, ("median",)))
+    rows = panel(spark, d).select(*GRAIN, "tn")
+    return tidy(X.with_rolling(rows, "tn", (3, 6, 9, 12, 24), S.series(PAIR), ("median",)).drop("tn"))
 
 
 def rolling_min1(spark, d):
     w = S.series(PAIR)
-    return _windowed(
-        spark, d,
-        {
-            "media_12": S.rolling("tn", "mean", 12, w, min_rows=1),
-            **{f"suma_{n}": S.rolling("tn", "sum", n, w, min_rows=1) for n in (3, 6, 12)},
-        },
-    )
+    sums = [S.rolling("tn", "sum", n, w, min_rows=1).alias(f"suma_{n}") for n in (3, 6, 12)]
+    return tidy(panel(spark, d).select(*GRAIN, S.rolling("tn", "mean", 12, w, min_rows=1).alias("media_12"), *sums))
 
 
 def ewm(spark, d):
@@ -533,7 +524,7 @@ def row_functions(spark, d):
 
 
 def category_codes(spark, d):
-    return R.category_codes(V.products(spark, d), "cat3")
+    return R.category_codes(V.products(spark, d), ["cat1", "cat3", "brand"])
 
 
 def exact_cuts(spark, d):

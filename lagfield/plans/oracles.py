@@ -44,7 +44,7 @@ def with_(sql: str, *needs: str) -> str:
 
 
 FACTS = """SELECT {customer} AS customer_id, {product} AS product_id,
-  year(o_orderdate)*100 + month(o_orderdate) AS periodo,
+  CAST(year(o_orderdate)*100 + month(o_orderdate) AS INTEGER) AS periodo,
   max(CASE WHEN l_discount >= 0.09 THEN 1 ELSE 0 END) AS plan_flag,
   sum(l_quantity) AS request_tn,
   sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END) AS tn
@@ -55,7 +55,7 @@ cte("sparse", FACTS.format(customer="o_custkey", product="l_suppkey % 10"))
 cte(
     "sale_lines",
     """SELECT c_nationkey AS customer_id, l_suppkey AS product_id,
-  year(o_orderdate)*100 + month(o_orderdate) AS periodo,
+  CAST(year(o_orderdate)*100 + month(o_orderdate) AS INTEGER) AS periodo,
   CASE WHEN l_discount >= 0.09 THEN 1 ELSE 0 END AS plan_flag, l_quantity AS request_tn,
   CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END AS tn
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey""",
@@ -68,7 +68,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 )
 cte(
     "stocks",
-    """SELECT * FROM (SELECT l_suppkey AS product_id, year(o_orderdate)*100 + month(o_orderdate) AS periodo,
+    """SELECT * FROM (SELECT l_suppkey AS product_id, CAST(year(o_orderdate)*100 + month(o_orderdate) AS INTEGER) AS periodo,
   sum(CASE l_returnflag WHEN 'R' THEN l_quantity WHEN 'N' THEN -l_quantity ELSE 0 END) AS stock_final
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) x WHERE periodo >= 200007""",
 )
@@ -86,7 +86,7 @@ def idx(p: str) -> str:
 
 
 def per(i: str) -> str:
-    return f"(({i}) // 12 * 100 + ({i}) % 12 + 1)"
+    return f"CAST(({i}) // 12 * 100 + ({i}) % 12 + 1 AS INTEGER)"
 
 
 def dense(source: str, keys: str) -> str:
@@ -148,7 +148,7 @@ SQL: dict[str, str] = {}
 # --- sources and panel -----------------------------------------------------
 
 SQL["run_log_union"] = with_(
-    """SELECT product_id, CAST(count(*) AS DOUBLE) AS meses, CAST(NULL AS BIGINT) AS ultimo FROM obs GROUP BY 1
+    """SELECT product_id, CAST(count(*) AS DOUBLE) AS meses, CAST(NULL AS INTEGER) AS ultimo FROM obs GROUP BY 1
 UNION ALL SELECT product_id, sum(tn), max(periodo) FROM obs GROUP BY 1""",
     "obs",
 )
@@ -182,7 +182,7 @@ UNION ALL SELECT 'cliente', customer_id, min(periodo), NULL, NULL, NULL FROM sal
 SQL["period_functions"] = with_(
     f"""SELECT product_id, periodo, {per(idx('periodo') + ' + 2')} AS mas_2, {per(idx('periodo') + ' - 13')} AS menos_13,
   make_date(periodo // 100, periodo % 100, 1) AS ds, CAST(make_date(periodo // 100, periodo % 100, 1) AS TIMESTAMP) AS marca,
-  periodo AS vuelta, periodo % 100 AS mes, periodo // 100 AS anio FROM obs""",
+  periodo AS vuelta, CAST(periodo % 100 AS INTEGER) AS mes, CAST(periodo // 100 AS INTEGER) AS anio FROM obs""",
     "obs",
 )
 LAG_COLS = lags("tn", range(12), PAIR_W, "tn_")
@@ -227,7 +227,7 @@ FROM {source} a JOIN {source} b ON a.customer_id = b.customer_id AND a.product_i
 GROUP BY 1, 2, 3"""
 
 
-cte("numbered", f"SELECT {G3}, tn, {over('row_number()', PAIR_W)} - 1 AS i FROM panel", "panel")
+cte("numbered", f"SELECT {G3}, tn, CAST({over('row_number()', PAIR_W)} - 1 AS INTEGER) AS i FROM panel", "panel")
 cte("e3", ewm_sql("tn", 3, "numbered", "ewm_3"), "numbered")
 cte("e6", ewm_sql("tn", 6, "numbered", "ewm_6"), "numbered")
 SQL["ewm"] = with_(f"SELECT {G3}, {fine('ewm_3', 'ewm_6')} FROM e3 JOIN e6 USING ({G3})", "e3", "e6")
@@ -250,15 +250,15 @@ cte("uni", "SELECT periodo, sum(tn) AS u FROM hist GROUP BY 1", "hist")
 cte("hist_cat", "SELECT h.*, p.cat1, p.cat2, p.cat3, p.brand, p.sku_size FROM hist h LEFT JOIN products p USING (product_id)", "hist", "products")
 cte("cat", "SELECT cat3, periodo, sum(tn) AS c FROM hist_cat GROUP BY 1, 2", "hist_cat")
 for column, code in (("cat1", "cat1"), ("cat2", "cat2"), ("cat3", "cat3_cat"), ("brand", "brand")):
-    cte(f"code_{code}", f"SELECT {column} AS v, row_number() OVER (ORDER BY {column}) - 1 AS k FROM (SELECT DISTINCT {column} FROM products)", "products")
+    cte(f"code_{code}", f"SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS k FROM (SELECT DISTINCT CAST({column} AS VARCHAR) AS v FROM products)", "products")
 cte(
     "wide",
     f"""SELECT h.product_id, h.periodo, h.tn, u.u, c.c, h.sku_size, k1.k AS cat1, k2.k AS cat2, k3.k AS cat3_cat, k4.k AS brand,
   CAST(s.stock_final IS NOT NULL AS INT) AS stock_disponible, CAST(coalesce(s.stock_final < 0, false) AS INT) AS stock_negativo,
   coalesce(s.stock_final, 0.0) AS stock_0
 FROM hist_cat h JOIN uni u USING (periodo) LEFT JOIN cat c ON c.cat3 = h.cat3 AND c.periodo = h.periodo
-LEFT JOIN code_cat1 k1 ON k1.v = h.cat1 LEFT JOIN code_cat2 k2 ON k2.v = h.cat2
-LEFT JOIN code_cat3_cat k3 ON k3.v = h.cat3 LEFT JOIN code_brand k4 ON k4.v = h.brand
+LEFT JOIN code_cat1 k1 ON k1.v = h.cat1 LEFT JOIN code_cat2 k2 ON k2.v = CAST(h.cat2 AS VARCHAR)
+LEFT JOIN code_cat3_cat k3 ON k3.v = h.cat3 LEFT JOIN code_brand k4 ON k4.v = CAST(h.brand AS VARCHAR)
 LEFT JOIN stocks s ON s.product_id = h.product_id AND s.periodo = h.periodo""",
     "hist_cat", "uni", "cat", "stocks", "code_cat1", "code_cat2", "code_cat3_cat", "code_brand",
 )
@@ -269,7 +269,7 @@ cte(
     f"""SELECT *, {lags('tn', range(13), PROD_W)},
   {', '.join(roll(k, 'tn', n, PROD_W) + f' AS {k}_{n}' for n in SIZES for k in KINDS)},
   CASE WHEN {over('count(*)', PROD_W, 12)} = 12 THEN CAST({over('sum(CAST(tn = 0 AS INT))', PROD_W, 12)} AS BIGINT) END AS ceros_12,
-  {over('row_number()', PROD_W)} - 1 AS i, {lags('u', (12,), PROD_W, 'u_')}, {lags('c', (12,), PROD_W, 'c_')},
+  CAST({over('row_number()', PROD_W)} - 1 AS INTEGER) AS i, {lags('u', (12,), PROD_W, 'u_')}, {lags('c', (12,), PROD_W, 'c_')},
   {lags('stock_0', STOCK_LAGS, PROD_W, 'stock_lag_')}, {over('lead(tn, 2)', PROD_W)} AS target FROM wide""",
     "wide",
 )
@@ -281,7 +281,7 @@ P_EXPR = {
     "stock_vs_tn": safe("stock_0", "abs(tn)", "1e-3"), "stock_cobertura_3": safe("stock_0", "abs(rmean_3)", "1e-3"),
     "stock_cobertura_12": safe("stock_0", "abs(rmean_12)", "1e-3"),
     "meses_desde_venta": f"i - max(CASE WHEN tn > 0 THEN i END) OVER ({PROD_W} ROWS UNBOUNDED PRECEDING)",
-    "mes": "periodo % 100",
+    "mes": "CAST(periodo % 100 AS INTEGER)",
 }
 P_WHOLE = {"meses_desde_venta", "mes", "ceros_12", "cat1", "cat2", "cat3_cat", "brand", "stock_disponible", "stock_negativo"}
 
@@ -325,7 +325,7 @@ FROM (SELECT *, {_MEAN12} AS mean12 FROM obs_lags) LEFT JOIN stock_lags USING (p
 
 # --- pair features ---------------------------------------------------------
 
-cte("lev", f"SELECT *, greatest({over('avg(tn)', PAIR_W, 12)}, 1e-3) AS promedio_nivel, {over('lead(tn, 2)', PAIR_W)} AS target_tn, {over('row_number()', PAIR_W)} - 1 AS i FROM panel", "panel")
+cte("lev", f"SELECT *, greatest({over('avg(tn)', PAIR_W, 12)}, 1e-3) AS promedio_nivel, {over('lead(tn, 2)', PAIR_W)} AS target_tn, CAST({over('row_number()', PAIR_W)} - 1 AS INTEGER) AS i FROM panel", "panel")
 cte("esc", "SELECT *, tn / promedio_nivel AS x FROM lev", "lev")
 SQL["pair_scaling"] = with_(
     f"""SELECT {G3}, {r('promedio_nivel')}, {r('x', 'tn_esc')}, {r('target_tn')}, {r('target_tn / promedio_nivel', 'target')},
@@ -350,7 +350,7 @@ SQL["pair_deltas"] = with_(
 FROM esc_lags JOIN x3 USING ({G3}) JOIN x6 USING ({G3})""",
     "esc_lags", "x3", "x6",
 )
-cte("bought", f"SELECT {G3}, CAST(tn > 0 AS INT) AS b, {over('row_number()', PAIR_W)} - 1 AS i FROM panel", "panel")
+cte("bought", f"SELECT {G3}, CAST(tn > 0 AS INT) AS b, CAST({over('row_number()', PAIR_W)} - 1 AS INTEGER) AS i FROM panel", "panel")
 SQL["pair_purchases"] = with_(
     f"""SELECT {G3}, {lags('b', (0, 1, 2, 3, 6, 12), PAIR_W, 'buy_lag_')},
   {', '.join(f"CAST({over('sum(b)', PAIR_W, n)} AS BIGINT) AS buys_{n}" for n in (3, 6, 12))},
@@ -569,7 +569,11 @@ SQL["row_functions"] = with_(
   {r('ln(1 + l0)', 'log')}, {r('exp(0.001 * l0) - 1', 'ex')} FROM l4""",
     "l4",
 )
-SQL["category_codes"] = with_("SELECT v AS cat3, k AS code FROM code_cat3_cat", "code_cat3_cat")
+SQL["category_codes"] = with_(
+    """SELECT 'cat1' AS kind, v AS category, k AS code FROM code_cat1 UNION ALL SELECT 'cat3', v, k FROM code_cat3_cat
+UNION ALL SELECT 'brand', v, k FROM code_brand""",
+    "code_cat1", "code_cat3_cat", "code_brand",
+)
 cte("vols", "SELECT ln(1 + sum(tn)) AS v FROM panel GROUP BY customer_id, product_id", "panel")
 SQL["exact_cuts"] = with_(
     " UNION ALL ".join(
@@ -582,14 +586,14 @@ SQL["exact_cuts"] = with_(
 
 IN_YEAR = f"periodo BETWEEN {YEAR}01 AND {YEAR}12"
 SQL["monthly_total"] = with_("SELECT periodo, sum(tn) AS tn FROM sales GROUP BY 1", "sales")
-SQL["yearly_total"] = with_("SELECT periodo // 100 AS anio, round(sum(tn)) AS tn FROM sales GROUP BY 1", "sales")
+SQL["yearly_total"] = with_("SELECT CAST(periodo // 100 AS INTEGER) AS anio, round(sum(tn)) AS tn FROM sales GROUP BY 1", "sales")
 SQL["trend_line"] = with_(
     f"""SELECT {r('regr_slope(y, x)', 'slope')}, {r('regr_intercept(y, x)', 'intercept')}, {r('regr_r2(y, x)', 'r2')} FROM (
   SELECT CAST(make_date(periodo // 100, periodo % 100, 1) - DATE '1970-01-01' AS DOUBLE) AS x, sum(tn) AS y FROM sales GROUP BY periodo)""",
     "sales",
 )
 cte("cli_share", f"SELECT customer_id, sum(tn) AS tn, sum(tn) * 100.0 / sum(sum(tn)) OVER () AS tn_pct FROM sparse WHERE {IN_YEAR} GROUP BY 1", "sparse")
-cte("cli_cum", "SELECT *, sum(tn_pct) OVER (ORDER BY tn_pct DESC) AS tn_pct_acumulado, row_number() OVER (ORDER BY tn DESC, customer_id) AS puesto FROM cli_share", "cli_share")
+cte("cli_cum", "SELECT *, sum(tn_pct) OVER (ORDER BY tn_pct DESC) AS tn_pct_acumulado, CAST(row_number() OVER (ORDER BY tn DESC, customer_id) AS INTEGER) AS puesto FROM cli_share", "cli_share")
 SQL["customer_share"] = with_(f"SELECT customer_id, {rr('tn', 'tn_pct')} FROM cli_share", "cli_share")
 SQL["distinct_customers"] = with_(f"SELECT count(DISTINCT customer_id) AS n FROM sparse WHERE {IN_YEAR}", "sparse")
 _CUM = f"SELECT customer_id, {rr('tn', 'tn_pct', 'tn_pct_acumulado')}, puesto FROM cli_cum"
@@ -656,7 +660,7 @@ cte(
 )
 SQL["shape_transform"] = with_(
     f"""SELECT customer_id, product_id, pos, {r('CASE WHEN sd > 1e-9 THEN (v - mean) / sd ELSE 0 END', 'z')} FROM (
-  SELECT customer_id, product_id, {over('row_number()', PAIR_W)} - 1 AS pos, v,
+  SELECT customer_id, product_id, CAST({over('row_number()', PAIR_W)} - 1 AS INTEGER) AS pos, v,
     avg(v) OVER (PARTITION BY customer_id, product_id) AS mean, stddev_pop(v) OVER (PARTITION BY customer_id, product_id) AS sd FROM logged)""",
     "logged",
 )
