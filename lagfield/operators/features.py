@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lagfield.functions import series as S
 from lagfield.functions.scalars import STOCK_EPS, ratio
 from lagfield.operators.relational import attach, category_codes, first_per_key, is_small
+from lagfield.session import stored
 
 # fixed values: lags of the stock columns
 STOCK_LAGS = (1, 2, 3, 6, 12)
@@ -36,23 +37,33 @@ def rolling_names(windows: Sequence[int], kinds: Sequence[str]) -> list[str]:
     return [f"{ROLLING_NAMES[k]}_{n}" for n in windows for k in kinds]
 
 
-def with_rolling(df: DataFrame, x: str, windows: Sequence[int], w: WindowSpec, kinds: Sequence[str]) -> DataFrame:
-    """Add full-window statistics named ``r<kind>_<size>``; null until the window is full.
+def rolling_frames(x: str, windows: Sequence[int], w: WindowSpec, kinds: Sequence[str]) -> dict[str, Column]:
+    """Window columns :func:`finish_rolling` works from; put them in one select with other windows.
 
     Means and deviations are window aggregates. Order statistics of all sizes
     come from one array of the widest window, cut and sorted per size, which
-    costs a fraction of a percentile or extreme per frame. A null value in the
-    window makes the statistic null.
+    costs a fraction of a percentile or extreme per frame.
     """
     if not windows:
-        return df
+        return {}
     held = F.collect_list(F.coalesce(F.col(x).cast("double"), F.lit(float("nan"))))
     frames = {"_frame": held.over(S.trailing(w, max(windows)))}
     for n in windows:
         for kind in ("mean", "std"):
             if kind in kinds:
                 frames[f"_{kind}_{n}"] = S.rolling(x, kind, n, w, min_rows=1)
-    df = with_columns(df, frames)
+    return frames
+
+
+def with_rolling(df: DataFrame, x: str, windows: Sequence[int], w: WindowSpec, kinds: Sequence[str]) -> DataFrame:
+    """Add full-window statistics named ``r<kind>_<size>``."""
+    return finish_rolling(with_columns(df, rolling_frames(x, windows, w, kinds)), windows, kinds)
+
+
+def finish_rolling(df: DataFrame, windows: Sequence[int], kinds: Sequence[str]) -> DataFrame:
+    """Turn the frames into statistics; null until the window is full or if it holds a null."""
+    if not windows:
+        return df
     cut = {
         f"_sorted_{n}": F.when(F.size("_frame") >= n, F.sort_array(F.slice("_frame", F.lit(-n), F.lit(n))))
         for n in windows
@@ -71,7 +82,8 @@ def with_rolling(df: DataFrame, x: str, windows: Sequence[int], w: WindowSpec, k
             "median": (F.get(values, F.lit((n - 1) // 2)) + F.get(values, F.lit(n // 2))) / 2,
         }
         out |= {f"{ROLLING_NAMES[k]}_{n}": F.when(full, stats[k]) for k in kinds}
-    return with_columns(df, out).drop(*frames, *cut)
+    spent = ["_frame", *cut, *[f"_{k}_{n}" for n in windows for k in ("mean", "std") if k in kinds]]
+    return with_columns(df, out).drop(*spent)
 
 
 def clean_attributes(attributes: DataFrame) -> DataFrame:
@@ -87,7 +99,7 @@ def clean_stocks(stocks: DataFrame) -> DataFrame:
 
 def coded_attributes(attributes: DataFrame, names: dict[str, str]) -> DataFrame:
     """Replace category columns by integer codes in ascending order of the category text."""
-    codes = category_codes(attributes, list(names))
+    codes = stored(category_codes(attributes, list(names)), "codes")
     small = is_small(codes)
     out = attributes
     for source, target in names.items():

@@ -45,7 +45,7 @@ def _joined(history: DataFrame, cfg: ProductConfig, attributes: DataFrame | None
     if cfg.shares or cfg.attributes:
         if attributes is None:
             raise ValueError("shares and attributes need the product table")
-        traits = X.clean_attributes(attributes)
+        traits = stored(X.clean_attributes(attributes), "attributes")
         if cfg.attributes:
             coded = X.coded_attributes(traits, CATEGORY_NAMES)
             coded = coded.withColumn("sku_size", lenient_double("sku_size"))
@@ -89,7 +89,8 @@ def build_features(
         windowed |= {"_universe_12": S.lag("_universe", 12, w), "_category_12": S.lag("_category", 12, w)}
     if cfg.stocks:
         windowed |= X.lag_columns("stock_0", X.STOCK_LAGS, w, "stock_lag_")
-    df = X.with_rolling(X.with_columns(df, windowed), "tn", cfg.windows, w, kinds)
+    windowed |= X.rolling_frames("tn", cfg.windows, w, kinds)
+    df = X.finish_rolling(X.with_columns(df, windowed), cfg.windows, kinds)
 
     feats = [f"lag_{n}" for n in cfg.lags] + X.rolling_names(cfg.windows, kinds)
     categorical: list[str] = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from lagfield.operators.product_features import build_features as build_product
 from lagfield.operators.seasonal import two_pass_forecast
 from lagfield.plans.pair_hurdle import Validation, evaluate
 from lagfield.sources import testviews as V
-from lagfield.session import stored
+from lagfield.session import stored, tune
 
 # Anchors of the test data: one to score, two with a known target.
 SCORE, SEASON, CONTROL = 200107, 200007, 200105
@@ -787,8 +788,16 @@ def product_sample(spark, d):
     return P.sample_products(panel(spark, d), 20)
 
 
+def _tuned(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tune(spark), sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: _tuned(f)
     for f in (
         forecast_check, run_log_union, anti_resume, one_row_per_month,
         densify_monthly, zero_fill_panel, zero_fill_lines, pair_panel, plan_flag_range, lives, period_functions,

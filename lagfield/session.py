@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods over 8,000 bytes. A select of some eighty
+    # features makes a larger one when fused, so such stages are better unfused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -31,6 +34,13 @@ def build_session(app: str = "lagfield", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
