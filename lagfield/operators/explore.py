@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagfield.functions.periods import month_index, to_month_start, year_of
+from lagfield.functions.periods import to_month_start, year_of
 from lagfield.functions.scalars import joined_text
 from lagfield.operators.relational import SMALL_ROWS, attach, grand_total, running_by_value
 from lagfield.session import stored
@@ -108,7 +108,7 @@ def pareto(facts: DataFrame, year: int, thresholds: Sequence[int] = (50, 80, 90)
 def skew(facts: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Mean, exact median, their ratio and the maximum of product-month sales."""
     sums = facts.groupBy("product_id", "periodo").agg(F.sum("tn").alias("tn"))
-    run = stored(running_by_value(sums, "tn", {"n": F.count(F.lit(1))}, limit=limit), "skew")
+    run = running_by_value(sums, "tn", {"n": F.count(F.lit(1))}, limit=limit)
     count = run.agg(F.sum("n")).first()[0] or 0
     low, high = (count - 1) // 2, count // 2
     median = (
@@ -160,7 +160,3 @@ def labelled_series(facts: DataFrame, products: DataFrame, product_id: int) -> D
     label = products.where(F.col("product_id") == product_id).select("product_id", joined_text(products).alias("titulo"))
     sums = facts.where(F.col("product_id") == product_id).groupBy("product_id", "periodo").agg(F.sum("tn").alias("tn"))
     return sums.join(label, "product_id").select("periodo", "tn", "titulo")
-
-
-def months_between(first: Column, last: Column) -> Column:
-    return month_index(last) - month_index(first)

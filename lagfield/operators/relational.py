@@ -197,7 +197,7 @@ def running_by_value(
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], limit: int = SMALL_ROWS) -> list[float]:
     """Exact quantiles with linear interpolation, from running counts of distinct values."""
-    run = stored(running_by_value(df, value, {"n": F.count(F.lit(1))}, limit=limit), "counts")
+    run = running_by_value(df, value, {"n": F.count(F.lit(1))}, limit=limit)
     total = run.agg(F.sum("n")).first()[0] or 0
     if total == 0:
         return []
