@@ -61,9 +61,11 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where one result feeds several plans: the lineage is cut, lost executors
-    do not redo the work before it, and later readers prune columns.
+    do not redo the work before it, and later readers prune columns. Tables of
+    one run lie under one folder, named by the application, to be removed after it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lagfield/{name}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark).rstrip('/')}/lagfield/{run}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
