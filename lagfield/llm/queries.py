@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagfield.llm.line_dedup import line_report
+from lagfield.llm.minhash import near_duplicates
+from lagfield.llm.pieces import encode, read_model
 from lagfield.llm.quality_rules import quality_rules
 from lagfield.session import tune
 
 
+# fixed values: the public tokenizer file, a parameter of the operator
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -26,8 +32,18 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return report.withColumn("line", F.sha2("line", 256)).withColumnRenamed("line", "line_sha256")
 
 
+def op5_minhash(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"))
+
+
+def op7_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Token counts and hashes of every document, with both checks."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return encode(docs, read_model(PIECES), digest=True).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_line_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op5_minhash, op7_pieces)
 }
 
 SQL: dict[str, str] = {}
