@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagfield.llm.decontaminate import leak_report
+from lagfield.llm.html_text import extract_text
 from lagfield.llm.line_dedup import line_report
 from lagfield.llm.minhash import near_duplicates
 from lagfield.llm.pieces import encode, read_model
@@ -42,8 +44,16 @@ def op7_pieces(spark: SparkSession, d: str) -> DataFrame:
     return encode(docs, read_model(PIECES), digest=True).drop("text")
 
 
+def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return leak_report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return extract_text(table(spark, d, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op5_minhash, op7_pieces)
+    f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op5_minhash, op7_pieces, op9_decontamination, op10_html_text)
 }
 
 SQL: dict[str, str] = {}
