@@ -235,13 +235,13 @@ def line_report(
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None, min_words: int = 5,
     config: LineConfig = LineConfig(),
 ) -> DataFrame:
     """The documents without lines that an earlier place of the table has, up to the threshold.
 
     Lines of under ``min_words`` words stay, as they carry no passage. The first place is the smallest (id, line).
-    Other columns are unchanged. A document left without a word, though it had some, goes; null, empty and blank
+    Other columns are unchanged, but that ``size_col``, if given, follows a text that changes. A document left without a word, though it had some, goes; null, empty and blank
     texts stay as they are. Rows that repeat an id share places; each loses what an earlier place has.
     """
     given = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row")
@@ -264,5 +264,9 @@ def line_dedup(
 
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest))
     cut = marked.withColumn("new", text).where(F.col("gone").isNull() | F.col("new").rlike(r"[^\x20\x09-\x0D]"))
-    names = [c for c in docs.columns]
-    return cut.select(*[F.col("new").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names])
+    values = {c: F.col("_row").getField(c) for c in docs.columns}
+    values[text_col] = F.col("new")
+    if size_col:
+        size = F.when(F.col("gone").isNull(), values[size_col]).otherwise(F.length("new").cast("long"))
+        values[size_col] = size.cast(docs.schema[size_col].dataType)
+    return cut.select(*[value.alias(c) for c, value in values.items()])

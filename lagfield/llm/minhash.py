@@ -166,15 +166,11 @@ def _confirmed(config: MinMaxConfig):
     return run
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, config: MinMaxConfig, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, config: MinMaxConfig) -> DataFrame:
     """Pairs of ``pairs(a, b)`` whose full sets are similar enough."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(
-        texts.join(involved, "id", "left_semi").mapInPandas(_sets_of(config), "id long, shingles binary"), f"{name}-sets"
-    )
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return stored(both.select("a", "b", "x", "y").mapInPandas(_confirmed(config), "a long, b long"), f"{name}-links")
+    return stored(both.select("a", "b", "x", "y").mapInPandas(_confirmed(config), "a long, b long"), "minmax-links")
 
 
 def near_links(docs: DataFrame, config: MinMaxConfig = MinMaxConfig()) -> tuple[DataFrame, DataFrame]:
@@ -196,7 +192,13 @@ def near_links(docs: DataFrame, config: MinMaxConfig = MinMaxConfig()) -> tuple[
     shared = reps.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     buckets = stored(reps.join(shared, "band"), "minmax-buckets")
 
-    texts = docs.select("id", "text").where(F.col("id").isNotNull())
+    # the full sets of all that have company, for every round
+    company = buckets.select("id").distinct()
+    full_sets = stored(
+        docs.join(company, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
+        .mapInPandas(_sets_of(config), "id long, shingles binary"),
+        "minmax-full",
+    )
     close = lambda n, m: 100 * F.least(n, m) >= config.percent * F.greatest(n, m)
     parts = None
     links = tried = None
@@ -233,7 +235,7 @@ def near_links(docs: DataFrame, config: MinMaxConfig = MinMaxConfig()) -> tuple[
                 continue
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = _confirm(pairs, texts, config, "minmax")
+        found = _confirm(pairs, full_sets, config)
         links = found if links is None else links.unionByName(found)
         parts = components(links, "minmax-parts")
     if parts is None:
@@ -263,3 +265,12 @@ def near_duplicates(
     return rows.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).withColumnRenamed(
         "id", id_col
     )
+
+
+def first_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: MinMaxConfig = MinMaxConfig()
+) -> DataFrame:
+    """The documents that are the first of their component, with all their columns."""
+    later = near_duplicates(docs, id_col, text_col, config).where(~F.col("kept"))
+    later = later.select(F.col(id_col).alias("_later")).distinct()
+    return docs.join(later, docs[id_col] == later["_later"], "left_anti")
