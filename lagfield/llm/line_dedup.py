@@ -5,9 +5,8 @@ segments; by the pigeonhole principle one of them is left whole by the edits, so
 place and for a line length that the edits allow. Segments are the index, the allowed substrings the probes, and a
 banded bit-parallel edit distance confirms each meeting.
 
-Lines that meet in a hot segment (a common opening, say) go another, exact way: they are cut finer, and only the
-rarest segments of each are indexed. With ``threshold`` edits and n segments at least n - threshold stay whole, so
-one of any threshold + 1 of them does.
+Lines that meet in a hot segment (a common opening, say) go another, exact way: by their rarest grams of three
+characters. An edit changes at most three of them, so of the 3 * threshold + 1 rarest of either line one is common.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagfield.llm.common import clean_columns, components, let
+from lagfield.operators.relational import attach
 from lagfield.session import stored
 
 
@@ -25,16 +25,19 @@ from lagfield.session import stored
 class LineConfig:
     """``threshold`` edits link two lines of ``min_chars`` characters or more; shorter ones only match exactly.
 
-    A segment with over ``hot`` index lines is hot; lines that meet there are cut into ``fine`` segments.
+    The shortest allowed ``min_chars`` is three times threshold + 1. A segment with over ``hot`` index lines is hot.
     """
 
     threshold: int = 2
     min_chars: int = 30
-    hot: int = 64
-    fine: int = 9
+    hot: int = 4
 
 
-def _segment(length: Column, parts: int, i: int | Column) -> tuple[Column, Column]:
+# Characters of a gram, and segments of the cheap condition before the edit distance.
+GRAM, PARTS = 3, 9
+
+
+def _segment(length: Column, parts: int, i: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment ``i`` of a line; later segments take the odd characters."""
     base, odd = F.floor(length / parts).cast("int"), length % parts
     longer = F.greatest(odd - (parts - i), F.lit(0))
@@ -42,7 +45,7 @@ def _segment(length: Column, parts: int, i: int | Column) -> tuple[Column, Colum
     return (base * i + longer).cast("int"), size.cast("int")
 
 
-def _key(length: Column, i: int | Column, line: Column, start: Column, size: Column) -> Column:
+def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> Column:
     return F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
 
 
@@ -51,41 +54,20 @@ def _index(line: Column, parts: int) -> list[Column]:
     return [_key(length, i, line, *_segment(length, parts, i)) for i in range(parts)]
 
 
-def _probes(line: Column, parts: int, threshold: int, shifts) -> Column:
-    """Keys of the substrings of a line that may be a whole segment of a line ``gap`` characters shorter."""
-
-    def probe(at: Column) -> Column:
-        length = F.length(line) - at["gap"]
-        start, size = _segment(length, parts, at["i"])
-        start = start + at["shift"]
-        fits = (start >= 0) & (start + size <= F.length(line)) & (length >= parts)
-        return F.when(fits, _key(length, at["i"], line, start, size))
-
-    places = [
-        F.struct(F.lit(i).alias("i"), F.lit(gap).alias("gap"), F.lit(shift).alias("shift"))
-        for gap in range(threshold + 1) for i in range(parts) for shift in shifts(i, gap)
-    ]
-    return F.array_distinct(F.filter(F.transform(F.array(*places), probe), lambda k: k.isNotNull()))
-
-
-def _match_aware(threshold: int):
-    """Shifts for threshold + 1 segments: edits before the segment and after it are both bounded."""
-
-    def shifts(i: int, gap: int) -> range:
-        low = max(-i, gap - (threshold - i))
-        high = min(i, gap + (threshold - i))
-        return range(low, high + 1)
-
-    return shifts
-
+def _probes(line: Column, threshold: int) -> list[Column]:
+    """Keys of the substrings that may be a whole segment of a line up to ``threshold`` characters shorter.
 
-def _shift_aware(threshold: int):
-    """Shifts for any segment left whole: |shift| edits before it and |gap - shift| after it at least."""
-
-    def shifts(i: int, gap: int) -> range:
-        return range(-((threshold - gap) // 2), (threshold + gap) // 2 + 1)
-
-    return shifts
+    The shifts are those that bounded edits before the segment and behind it allow.
+    """
+    found, parts = [], threshold + 1
+    for gap in range(parts):
+        length = F.length(line) - gap
+        for i in range(parts):
+            start, size = _segment(length, parts, i)
+            for shift in range(max(-i, gap - (threshold - i)), min(i, gap + (threshold - i)) + 1):
+                fits = (start + shift >= 0) & (start + shift + size <= F.length(line)) & (length >= parts)
+                found.append(F.when(fits, _key(length, i, line, start + shift, size)))
+    return found
 
 
 def edit_distance_within(a: Column, b: Column, threshold: int) -> Column:
@@ -140,6 +122,18 @@ def edit_distance_within(a: Column, b: Column, threshold: int) -> Column:
     return let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), distance)
 
 
+def _mostly_whole(a: Column, b: Column, parts: int, threshold: int) -> Column:
+    """A cheap condition that close lines meet: all but ``threshold`` of ``parts`` segments of ``a`` occur in ``b``,
+    at most ``threshold`` characters off their place."""
+    whole = F.lit(0)
+    for i in range(parts):
+        start, size = _segment(F.length(a), parts, i)
+        first = F.greatest(start - threshold, F.lit(0))
+        room = F.substring(b, first + 1, start + size + threshold - first)
+        whole = whole + F.when(F.contains(room, F.substring(a, start + 1, size)), 1).otherwise(0)
+    return whole >= parts - threshold
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """Each different line once: its number, text, copies and first place (document, line)."""
     lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -151,12 +145,12 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
     """Pairs ``(a, b)`` of different lines within the threshold, each pair once."""
     t = config.threshold
-    joined = lines.where(F.length("line") >= config.min_chars).select("line_id", "line")
+    joined = lines.where(F.length("line") >= max(config.min_chars, GRAM * (t + 1))).select("line_id", "line")
     line = F.col("line")
     entries = joined.select(F.explode(F.array(*_index(line, t + 1))).alias("k"), F.col("line_id").alias("a"))
     probes = joined.select(
-        F.explode(_probes(line, t + 1, t, _match_aware(t))).alias("k"), F.col("line_id").alias("b")
-    )
+        F.explode(F.array(*_probes(line, t))).alias("k"), F.col("line_id").alias("b")
+    ).where(F.col("k").isNotNull())
     # Most segments have one index line; only the others need a look at how many.
     counted = entries.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a"))
     single = counted.where(F.col("n") == 1)
@@ -172,19 +166,19 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
         .unionByName(probes.join(hot, "k").select(F.col("b").alias("line_id"))).distinct(),
         "line-hot",
     )
-    finer = joined.join(in_hot, "line_id")
-    parts = config.fine
-    fine = stored(
-        finer.select("line_id", F.posexplode(F.array(*_index(line, parts))).alias("i", "k")), "line-fine"
-    )
-    sized = fine.join(fine.groupBy("k").count(), "k")
-    rarest = Window.partitionBy("line_id").orderBy("count", "i")
-    rare = sized.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= t + 1)
-    rare = rare.select("k", F.col("line_id").alias("a"))
-    fine_probes = finer.select(
-        F.explode(_probes(line, parts, t, _shift_aware(t))).alias("k"), F.col("line_id").alias("b")
-    )
-    met_fine = rare.join(fine_probes, "k").where(F.col("a") != F.col("b")).select("a", "b")
+    grams = joined.join(in_hot, "line_id").select(
+        "line_id", F.length("line").alias("n"), F.explode(F.sequence(F.lit(1), F.length("line") - (GRAM - 1))).alias("p"), "line"
+    ).select("line_id", "n", "p", F.xxhash64(F.substring("line", F.col("p"), GRAM)).alias("g"))
+    grams = attach(grams, stored(grams.groupBy("g").count(), "line-grams"), ["g"], ["line_id", "p"])
+    rarest = Window.partitionBy("line_id").orderBy("count", "g", "p")
+    rare = grams.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= GRAM * t + 1)
+    rare = stored(rare.select("line_id", "n", "p", "g"), "line-rare")
+    one, two = rare.alias("one"), rare.alias("two")
+    met_fine = one.join(
+        two,
+        (F.col("one.g") == F.col("two.g")) & (F.col("one.line_id") < F.col("two.line_id"))
+        & (F.abs(F.col("one.p") - F.col("two.p")) <= t) & (F.abs(F.col("one.n") - F.col("two.n")) <= t),
+    ).select(F.col("one.line_id").alias("a"), F.col("two.line_id").alias("b"))
 
     pairs = alone.unionByName(met).unionByName(met_fine)
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
@@ -192,10 +186,14 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
     left = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
     both = left.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
     shorter = F.length("x") <= F.length("y")
-    edits = edit_distance_within(
-        F.when(shorter, F.col("x")).otherwise(F.col("y")), F.when(shorter, F.col("y")).otherwise(F.col("x")), t
+    both = both.select(
+        "a", "b",
+        F.when(shorter, F.col("x")).otherwise(F.col("y")).alias("x"),
+        F.when(shorter, F.col("y")).otherwise(F.col("x")).alias("y"),
     )
-    return stored(both.where(edits <= t).select("a", "b"), "line-links")
+    near = stored(both.where(_mostly_whole(F.col("x"), F.col("y"), PARTS, t)), "line-near")
+    edits = edit_distance_within(F.col("x"), F.col("y"), t)
+    return stored(near.where(edits <= t).select("a", "b"), "line-links")
 
 
 def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
