@@ -4,9 +4,10 @@ Each permutation of the shingle hashes gives two signature values, its smallest
 permutations are evaluated. Both agree between two sets with the probability of their similarity. Bands of these
 values propose pairs; every link is confirmed on the full shingle sets.
 
-Texts with equal sets are one class from the start. Within a bucket each class is first compared with a few
-representatives only; what these links already connect needs no further look, and all that is left, however much, is
-compared pair by pair between the parts not connected. So no link is lost and a large group costs few pairs.
+Texts with equal sets are one class from the start. Within a bucket each class is first compared with one
+representative only; what these links already connect needs no further look. Members of buckets that are not yet in
+one part are then joined on their rarest shingles: of two sets that are similar enough, the rarest quarters of both
+share a shingle, at places that leave room for the rest. So no link is lost and a large group costs few pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagfield.llm.common import PERCENT, SHINGLE, clean_columns, components
@@ -34,14 +35,14 @@ class MinMaxConfig:
     """``permutations`` give twice as many values, cut into bands of ``rows``.
 
     64 permutations make 32 bands of 4: a pair of similarity 0.75 is missed by all with probability 5e-6.
-    ``rounds`` representatives are tried in a bucket before its unconnected parts are compared in full.
+    ``rounds`` representatives are tried in a bucket before its unconnected parts are joined on rare shingles.
     """
 
     shingle: int = SHINGLE
     percent: int = PERCENT
     permutations: int = 64
     rows: int = 4
-    rounds: int = 3
+    rounds: int = 2
 
 
 class WordHashes(dict):
@@ -173,6 +174,42 @@ def _confirm(pairs: DataFrame, sets: DataFrame, config: MinMaxConfig) -> DataFra
     return stored(both.select("a", "b", "x", "y").mapInPandas(_confirmed(config), "a long, b long"), "minmax-links")
 
 
+def _exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for a in range(0, len(batch), 256):
+            part = batch.iloc[a : a + 256]
+            sets = [np.frombuffer(x, np.int64) for x in part["shingles"]]
+            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), [len(x) for x in sets]), "g": np.concatenate(sets)})
+
+
+def _rare_pairs(members: DataFrame, sets: DataFrame, config: MinMaxConfig) -> DataFrame:
+    """Pairs of ``members(id, n_shingles, part)`` of different parts that may be linked.
+
+    Shingles go from rare to common. Sets x and y need ``percent`` of their union in common, so of the first
+    (100 - percent) percent of x, and one more, at least one is among those of y; and behind the first one in common
+    enough places have to be left in both. Where a part holds most of a shingle's sets, only the others are paired.
+    """
+    own = sets.join(members.select("id"), "id", "left_semi").mapInPandas(_exploded, "id long, g long")
+    own = stored(own, "minmax-shingles")
+    ranked = own.join(own.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "g", "left")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "g"))
+    first = ranked.withColumn("i", rank).join(members, "id")
+    first = first.where((F.col("i") - 1) * 100 <= (100 - config.percent) * F.col("n_shingles"))
+    first = stored(first.where("df > 1").select("id", "n_shingles", "part", "i", "g"), "minmax-rare")
+    most = first.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(
+        F.max_by("part", F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts")
+    )
+    x = first.join(most.where("parts > 1"), "g").where("part <> most").alias("x")
+    y = first.alias("y")
+    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
+    room = 1 + F.least(n - F.col("x.i"), m - F.col("y.i"))
+    met = x.join(
+        y, (F.col("x.g") == F.col("y.g")) & (F.col("x.part") != F.col("y.part"))
+        & ((100 + config.percent) * room >= config.percent * (n + m)),
+    )
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def near_links(docs: DataFrame, config: MinMaxConfig = MinMaxConfig()) -> tuple[DataFrame, DataFrame]:
     """``(members, classes)`` of ``docs(id, text)``.
 
@@ -200,44 +237,32 @@ def near_links(docs: DataFrame, config: MinMaxConfig = MinMaxConfig()) -> tuple[
         "minmax-full",
     )
     close = lambda n, m: 100 * F.least(n, m) >= config.percent * F.greatest(n, m)
-    parts = None
-    links = tried = None
+    held = buckets.withColumn("part", F.col("id"))
+    parts = links = tried = None
     for turn in range(config.rounds + 1):
-        if parts is None:
-            held = buckets.withColumn("part", F.col("id"))
+        # buckets with members in different parts
+        sides = held.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+        held = stored(held.join(sides.select("band"), "band", "left_semi"), "minmax-open")
+        if not held.limit(1).count():
+            break
+        if turn == config.rounds:
+            pairs = _rare_pairs(held.select("id", "n_shingles", "part").distinct(), full_sets, config)
         else:
-            held = buckets.join(parts.withColumnsRenamed({"component": "part"}), "id", "left")
-            held = held.withColumn("part", F.coalesce("part", "id"))
-            # buckets whose members are all connected are done
-            open_ = held.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-            held = held.join(open_.select("band"), "band", "left_semi")
-        other = held.select(
-            "band", F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("part").alias("part_b")
-        )
-        if turn < config.rounds:
-            lead = held.groupBy("band").agg(
-                F.min_by(F.struct("id", "n_shingles", "part"), F.xxhash64("id", F.lit(turn))).alias("r")
-            )
+            pick = F.min_by(F.struct("id", "n_shingles", "part"), F.xxhash64("id", F.lit(turn)))
+            lead = held.groupBy("band").agg(pick.alias("r"))
             lead = lead.select("band", F.col("r.id").alias("a"), F.col("r.n_shingles").alias("n"), F.col("r.part").alias("part_a"))
-            met = lead.join(other, "band").where("part_a <> part_b")
-        else:
-            lead = held.select(
-                "band", F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("part").alias("part_a")
-            )
-            met = lead.join(other, "band").where("part_a < part_b")
-        met = met.where(close(F.col("n"), F.col("m")))
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            met = lead.join(held.withColumnsRenamed({"id": "b", "n_shingles": "m"}), "band")
+            pairs = met.where((F.col("part_a") != F.col("part")) & close(F.col("n"), F.col("m")))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "minmax-pairs")
-        if not pairs.limit(1).count():
-            if turn < config.rounds:
-                continue
-            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = _confirm(pairs, full_sets, config)
         links = found if links is None else links.unionByName(found)
         parts = components(links, "minmax-parts")
+        held = held.drop("part").join(parts.withColumnRenamed("component", "part"), "id", "left")
+        held = held.withColumn("part", F.coalesce("part", "id"))
     if parts is None:
         parts = sets.select(F.col("rep").alias("id"), F.col("rep").alias("component")).limit(0)
     return members, parts.select(F.col("id").alias("rep"), "component")
