@@ -80,12 +80,13 @@ def joined_text(df: DataFrame, sep: str = ", ") -> Column:
 
 def hash_order(keys: Sequence[str], seed: int) -> Column:
     """A repeatable pseudo-random order that does not depend on partitioning."""
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
 def _unit(keys: Sequence[str], seed: int, stream: int) -> Column:
-    bits = F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed), F.lit(stream)), 11)
-    return (bits.cast("double") + 0.5) / F.lit(float(2**53))
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)), F.lit(str(stream))))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
+    return (bits.cast("double") + 0.5) / F.lit(float(2**52))
 
 
 def lognormal_noise(keys: Sequence[str], sigma: float, seed: int) -> Column:

@@ -6,6 +6,7 @@ specification share a single exchange and sort.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, Window, WindowSpec
@@ -68,11 +69,13 @@ def ewm_mean(x: Column | str, span: int, index: str, w: WindowSpec) -> Column:
 
     ``index`` names the row-index column of the series. Weights grow along the
     series and cancel in the ratio; at ``alpha`` 0.5 a double holds about 1,000
-    rows, that is 83 years of months.
+    rows, that is 83 years of months. A longer series raises.
     """
     keep = 1.0 - 2.0 / (span + 1.0)
     value = as_col(x)
-    weight = F.pow(F.lit(keep), -F.col(index))
+    most = int(700 / -math.log(keep)) if keep > 0 else 0
+    too_long = F.raise_error(F.lit(f"a series of over {most} rows")).cast("double")
+    weight = F.when(F.col(index) > most, too_long).otherwise(F.pow(F.lit(keep), -F.col(index)))
     frame = w.rowsBetween(Window.unboundedPreceding, 0)
     seen = F.when(value.isNotNull(), weight)
     return F.try_divide(F.sum(value * weight).over(frame), F.sum(seen).over(frame))

@@ -16,17 +16,18 @@ Forecaster = Callable[[DataFrame, int], DataFrame]
 
 
 def backtest(
-    history: DataFrame, forecasters: Mapping[str, Forecaster], anchors: Sequence[int], horizon: int = 2
+    history: DataFrame, forecasters: Mapping[str, Forecaster], anchors: Sequence[int], horizon: int = 2,
+    keys: Sequence[str] = ("product_id",),
 ) -> DataFrame:
-    """One row per anchor and product with the truth and a column per forecaster (missing = 0)."""
+    """One row per anchor and series with the truth and a column per forecaster (missing = 0)."""
     out = None
     for anchor in anchors:
         past = history.where(F.col("periodo") <= anchor)
         real = history.where(F.col("periodo") == shift_period(anchor, horizon))
-        rows = real.select(F.lit(anchor).alias("anchor"), "product_id", F.col("tn").alias("tn_real"))
+        rows = real.select(F.lit(anchor).alias("anchor"), *keys, F.col("tn").alias("tn_real"))
         for name, forecast in forecasters.items():
-            pred = forecast(past, anchor).select("product_id", F.col("tn").alias(name))
-            rows = rows.join(pred, "product_id", "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+            pred = forecast(past, anchor).select(*keys, F.col("tn").alias(name))
+            rows = rows.join(pred, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -68,12 +69,13 @@ def ensemble_weights(results: DataFrame, models: Sequence[str], metric: str = "w
 
 
 def ensemble_forecast(
-    history: DataFrame, forecasters: Mapping[str, Forecaster], weights: Mapping[str, float], anchor: int
+    history: DataFrame, forecasters: Mapping[str, Forecaster], weights: Mapping[str, float], anchor: int,
+    keys: Sequence[str] = ("product_id",),
 ) -> DataFrame:
     """Weighted mean of the forecasts at the anchor."""
     past = history.where(F.col("periodo") <= anchor)
     out = None
     for name, weight in weights.items():
-        part = forecasters[name](past, anchor).select("product_id", (F.col("tn") * weight).alias("tn"))
+        part = forecasters[name](past, anchor).select(*keys, (F.col("tn") * weight).alias("tn"))
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("product_id").agg(F.sum("tn").alias("tn"))
+    return out.groupBy(*keys).agg(F.sum("tn").alias("tn"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,25 +12,29 @@ from lagfield.functions.scalars import clip
 from lagfield.operators.relational import overridden
 
 
-def last_month(history: DataFrame, anchor: int) -> DataFrame:
+# fixed value: the usual key of a series
+PRODUCT = ("product_id",)
+
+
+def last_month(history: DataFrame, anchor: int, keys: Sequence[str] = PRODUCT) -> DataFrame:
     """tn(t)."""
-    return history.where(F.col("periodo") == anchor).select("product_id", "tn")
+    return history.where(F.col("periodo") == anchor).select(*keys, "tn")
 
 
-def mean_12(history: DataFrame, anchor: int) -> DataFrame:
+def mean_12(history: DataFrame, anchor: int, keys: Sequence[str] = PRODUCT) -> DataFrame:
     """Mean of the rows of the last 12 months.
 
     On a history with gaps that is the mean of the observed months; on a
     gap-free one, zero months count.
     """
     recent = history.where(F.col("periodo").between(shift_period(anchor, -11), anchor))
-    return recent.groupBy("product_id").agg(F.avg("tn").alias("tn"))
+    return recent.groupBy(*keys).agg(F.avg("tn").alias("tn"))
 
 
-def same_month(history: DataFrame, anchor: int, horizon: int = 2) -> DataFrame:
+def same_month(history: DataFrame, anchor: int, horizon: int = 2, keys: Sequence[str] = PRODUCT) -> DataFrame:
     """The target month one year before, else the 12-month mean."""
-    year_ago = history.where(F.col("periodo") == shift_period(anchor, horizon - 12)).select("product_id", "tn")
-    return overridden(mean_12(history, anchor), year_ago, ["product_id"], "tn")
+    year_ago = history.where(F.col("periodo") == shift_period(anchor, horizon - 12)).select(*keys, "tn")
+    return overridden(mean_12(history, anchor, keys), year_ago, keys, "tn")
 
 
 BASELINES = {"last_month": last_month, "mean_12": mean_12, "same_month": same_month}

@@ -161,7 +161,7 @@ def two_pass_forecast(
     first = stored(fit_family(regular, (*SEASONAL, *PLAIN), keys, horizon, log), "seasonal")
     second = stored(fit_family(without_keys(regular, first, keys), PLAIN, keys, horizon, log), "plain")
     out = first.withColumn("status", F.lit("seasonal")).unionByName(second.withColumn("status", F.lit("plain")))
-    left = without_keys(without_keys(mean_12(regular, anchor), first, keys), second, keys)
+    left = without_keys(without_keys(mean_12(regular, anchor, keys), first, keys), second, keys)
     rest = left.select(
         *keys, "tn", F.lit("mean_12").alias("model"), F.lit(None).cast("double").alias("aicc"),
         F.lit(0).cast("bigint").alias("rows_used"), F.lit("fallback").alias("status"),

@@ -24,7 +24,7 @@ from lagfield.operators import panel as P
 from lagfield.operators import relational as R
 from lagfield.operators import shape as D
 from lagfield.operators import structure as G
-from lagfield.operators.learners import TreeParams, boosted_l1
+from lagfield.operators.learners import boosted_l1
 from lagfield.operators.linear import forecast_on_lags, stock_group_search
 from lagfield.operators.pair_features import PairConfig, attach_segments, scaled, to_products, unscaled
 from lagfield.operators.pair_features import build_features as build_pair
@@ -38,6 +38,8 @@ from lagfield.session import stored, tune
 # Anchors of the test data: one to score, two with a known target.
 SCORE, SEASON, CONTROL = 200107, 200007, 200105
 YEAR = 2000
+# fixed value: months of the test data up to the last anchor
+MONTHS = 79
 PAIR = list(P.PAIR)
 GRAIN = list(P.GRAIN)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,8 +468,8 @@ def selection_score(spark, d):
 
 
 def pivot_months(spark, d):
-    """Product series side by side for the last three months."""
-    months = [shift_period(SCORE, -n) for n in (2, 1, 0)]
+    """Product series side by side for all months."""
+    months = [shift_period(SCORE, -n) for n in range(MONTHS - 1, -1, -1)]
     wide = observed(spark, d).groupBy("product_id").pivot("periodo", months).sum("tn")
     return wide.select("product_id", *[F.col(str(m)).alias(f"tn_{m}") for m in months])
 
@@ -512,13 +514,14 @@ def override_newer(spark, d):
 
 def row_functions(spark, d):
     """Row-wise mean, maximum, clip, bins and lenient numbers of the lags."""
-    table = P.lag_table(observed(spark, d), lags=4, prefix="l")
-    lags = ["l0", "l1", "l2", "l3"]
+    table = P.lag_table(observed(spark, d), lags=12, prefix="l")
+    lags = [f"l{i}" for i in range(12)]
     return tidy(
         table.select(
             "product_id", "periodo", C.row_mean(lags).alias("media"), C.row_max(lags).alias("mayor"),
             C.clip("l0", 100, 500).alias("recorte"), C.digitize("l0", (100, 200, 400)).alias("bin"),
             C.positive_flag("clase").alias("compra"), C.lenient_double(F.concat(F.col("l0").cast("string"), F.lit("x"))).alias("malo"),
+            C.lenient_double(F.col("product_id").cast("string")).alias("bueno"),
             F.log1p("l0").alias("log"), F.expm1(F.lit(0.001) * F.col("l0")).alias("ex"),
         )
     )
@@ -640,7 +643,7 @@ def stratified_sample(spark, d):
 
 
 def _medoids(spark, d):
-    return kept(spark, d, "medoids", lambda: D.fit_medoids(panel(spark, d), SEASON, sample_size=200))
+    return kept(spark, d, "medoids", lambda: D.fit_medoids(panel(spark, d), SEASON))
 
 
 def shape_medoids(spark, d):
@@ -657,11 +660,11 @@ def shape_segment_profile(spark, d):
 
 
 def euclidean_segments(spark, d):
-    return D.euclidean_segments(panel(spark, d), sample_size=200)
+    return D.euclidean_segments(panel(spark, d))
 
 
 def product_segments(spark, d):
-    return D.product_segments(history(spark, d), sample_size=200)
+    return D.product_segments(history(spark, d))
 
 
 # --- models ----------------------------------------------------------------
@@ -676,7 +679,7 @@ def ols_stock_search(spark, d):
     return stock_group_search(table, shift_period(CONTROL, -4), CONTROL)
 
 
-SMALL_TREES = TreeParams(trees=5, depth=4)
+SEEDS = (1, 2)
 
 
 def gbt_l1(spark, d):
@@ -684,7 +687,7 @@ def gbt_l1(spark, d):
     table = stored(built.table, "gbt-table")
     fitted = boosted_l1(
         P.training_rows(table, CONTROL), P.anchor_rows(table, CONTROL), built.features, log_target=True,
-        params=SMALL_TREES,
+        seeds=SEEDS,
     )
     return fitted.rows.select("product_id", "periodo", F.col("target").alias("tn_real"), "tn")
 
@@ -694,7 +697,7 @@ def gbt_importance(spark, d):
     table = stored(built.table, "gbt-table")
     fitted = boosted_l1(
         P.training_rows(table, SEASON), P.anchor_rows(table, SEASON), built.features, built.categorical,
-        params=SMALL_TREES,
+        seeds=SEEDS,
     )
     return fitted.importance
 
@@ -708,13 +711,13 @@ def _variant(spark, d, variant):
     spec = Validation("control", shift_period(CONTROL, -12), CONTROL)
     maps = None
     if variant in ("hurdle_cluster", "hurdle_per_cluster"):
-        early = D.fit_medoids(panel(spark, d), spec.train_anchor, sample_size=100)
+        early = D.fit_medoids(panel(spark, d), spec.train_anchor)
         early = stored(early, "medoids")
         maps = (
             stored(D.segment_map(panel(spark, d), spec.train_anchor, early), "map"),
             stored(D.segment_map(panel(spark, d), spec.score_anchor, early), "map"),
         )
-    result = evaluate(table, names, variant, spec, maps, params=SMALL_TREES, min_rows=300, min_positive=30)
+    result = evaluate(table, names, variant, spec, maps, seeds=SEEDS)
     return result.products
 
 
@@ -781,7 +784,7 @@ def ensemble(spark, d):
 
 
 def noise_lognormal(spark, d):
-    return C.with_noise(observed(spark, d), "tn", ["product_id", "periodo"], 0.3, 102191)
+    return tidy(C.with_noise(observed(spark, d).select("product_id", "periodo", "tn"), "tn", ["product_id", "periodo"], 0.3, 102191))
 
 
 def product_sample(spark, d):

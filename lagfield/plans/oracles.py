@@ -528,7 +528,7 @@ SQL["selection_score"] = with_(
     f"SELECT candidate, {rr('season', 'control')}, {r('season * 0.7 + control * 0.3', 'score_seleccion')} FROM runs_wide", "runs_wide"
 )
 SQL["pivot_months"] = with_(
-    "SELECT product_id, " + ", ".join(f"sum(tn) FILTER (periodo = {add(SCORE, -n)}) AS tn_{add(SCORE, -n)}" for n in (2, 1, 0)) + " FROM obs GROUP BY 1",
+    "SELECT product_id, " + ", ".join(f"sum(tn) FILTER (periodo = {add(SCORE, -n)}) AS tn_{add(SCORE, -n)}" for n in range(78, -1, -1)) + " FROM obs GROUP BY 1",
     "obs",
 )
 cte("two", f"SELECT a.product_id, a.tn AS x, b.tn AS y FROM ({mean_sql(SCORE)}) a JOIN ({same_sql(SCORE)}) b USING (product_id)", "obs")
@@ -559,13 +559,13 @@ QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_c
 SQL["override_newer"] = with_(
     f"SELECT a.product_id, coalesce(b.tn, a.tn) AS tn FROM ({last_sql(SEASON)}) a LEFT JOIN ({last_sql(SCORE)}) b USING (product_id)", "obs"
 )
-cte("l4", f"SELECT product_id, periodo, {lags('tn', range(4), PROD_W, 'l')}, {over('lead(tn, 2)', PROD_W)} AS clase FROM obs", "obs")
+cte("l4", f"SELECT product_id, periodo, {lags('tn', range(12), PROD_W, 'l')}, {over('lead(tn, 2)', PROD_W)} AS clase FROM obs", "obs")
 SQL["row_functions"] = with_(
     f"""SELECT product_id, periodo,
-  {r('list_avg(list_filter([l0, l1, l2, l3], lambda v: v IS NOT NULL))', 'media')}, {r('greatest(l0, l1, l2, l3)', 'mayor')},
+  {r('list_avg(list_filter([l0, l1, l2, l3, l4, l5, l6, l7, l8, l9, l10, l11], lambda v: v IS NOT NULL))', 'media')}, {r('greatest(l0, l1, l2, l3, l4, l5, l6, l7, l8, l9, l10, l11)', 'mayor')},
   {r('least(greatest(l0, 100.0), 500.0)', 'recorte')},
   CAST(l0 >= 100 AS INT) + CAST(l0 >= 200 AS INT) + CAST(l0 >= 400 AS INT) AS bin,
-  CASE WHEN clase IS NOT NULL THEN CAST(clase > 0 AS INT) END AS compra, CAST(NULL AS DOUBLE) AS malo,
+  CASE WHEN clase IS NOT NULL THEN CAST(clase > 0 AS INT) END AS compra, CAST(NULL AS DOUBLE) AS malo, CAST(product_id AS DOUBLE) AS bueno,
   {r('ln(1 + l0)', 'log')}, {r('exp(0.001 * l0) - 1', 'ex')} FROM l4""",
     "l4",
 )
@@ -730,3 +730,23 @@ UNION ALL SELECT product_id, {r('avg(tn)', 'tn')}, 'mean_12', 'fallback' FROM re
   AND product_id NOT IN (SELECT product_id FROM fam_s) AND product_id NOT IN (SELECT product_id FROM fam_p) GROUP BY 1""",
     "fam_s", "fam_p", "reg",
 )
+
+
+# --- sampling and noise: the order of a text's hash -------------------------
+
+SQL["product_sample"] = with_(
+    "SELECT * FROM panel WHERE product_id IN (SELECT product_id FROM (SELECT DISTINCT product_id FROM panel) "
+    "ORDER BY md5(product_id || '|1'), product_id LIMIT 20)",
+    "panel",
+)
+
+
+def unit_sql(stream: int) -> str:
+    digest = f"md5(product_id || '|' || periodo || '|102191|{stream}')"
+    return f"((CAST('0x' || substr({digest}, 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / 4503599627370496.0)"
+
+
+SQL["noise_lognormal"] = with_(
+    f"SELECT product_id, periodo, {r(f'tn * exp(0.3 * sqrt(-2.0 * ln({unit_sql(1)})) * cos(2.0 * pi() * {unit_sql(2)}))', 'tn')} FROM obs",
+    "obs",
+)

@@ -80,9 +80,9 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None, order: S
     df.write.mode("overwrite").csv(path, header=True, compression=compression or "none")
 
 
-def write_panel(df: DataFrame, path: str) -> None:
-    """Panel as Parquet by month; readers of some months skip the rest."""
-    df.repartition("periodo", F.pmod(F.xxhash64("customer_id", "product_id"), F.lit(64))).write.mode(
+def write_panel(df: DataFrame, path: str, files: int = 64) -> None:
+    """Panel as Parquet by month, in ``files`` files each; readers of some months skip the rest."""
+    df.repartition("periodo", F.pmod(F.xxhash64("customer_id", "product_id"), F.lit(files))).write.mode(
         "overwrite"
     ).partitionBy("periodo").parquet(path)
 
@@ -99,12 +99,25 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    """Add run rows to a log whose columns may differ from earlier runs."""
-    rows.write.mode("append").parquet(path)
+    """Add run rows to a log whose columns and their types may differ from earlier runs.
+
+    A row is stored as the text of its values with the types it had.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    values = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    rows.select(values.alias("row"), F.lit(json.dumps(kinds)).alias("kinds")).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All rows of the log; a column that had several types gets the wider one, as in a union."""
+    stored_rows = spark.read.parquet(path)
+    # one entry per layout of a run, not per row
+    layouts = sorted(r[0] for r in stored_rows.select("kinds").distinct().collect())
+    parts = []
+    for kinds in layouts:
+        schema = ", ".join(f"`{c}` {kind}" for c, kind in json.loads(kinds).items())
+        parts.append(stored_rows.where(F.col("kinds") == kinds).select(F.from_json("row", schema).alias("r")).select("r.*"))
+    return union_relaxed(*parts)
 
 
 def combined_log(*logs: DataFrame) -> DataFrame:
@@ -113,8 +126,8 @@ def combined_log(*logs: DataFrame) -> DataFrame:
 
 
 def write_medoids(medoids: DataFrame, path: str) -> None:
-    """Medoid table ``cut, medoid_id, seq``; one folder per cut."""
-    medoids.write.mode("overwrite").partitionBy("cut").parquet(path)
+    """Medoid table ``cut, medoid_id, seq``; one folder per cut. Only the cuts of the table are replaced."""
+    medoids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cut").parquet(path)
 
 
 def read_medoids(spark: SparkSession, path: str, cut: int) -> DataFrame:

@@ -67,6 +67,10 @@ def test_run_log_grows_with_new_columns(spark, tmp_path):
     IO.append_log(spark.createDataFrame([("b", 0.20, "x")], "experimento string, wape double, top string"), path)
     got = {r.experimento: (r.wape, r.top) for r in IO.read_log(spark, path).collect()}
     assert got == {"a": (0.25, None), "b": (0.20, "x")}
+    IO.append_log(spark.createDataFrame([("c", 1)], "experimento string, n int"), path)
+    IO.append_log(spark.createDataFrame([("d", 2**40)], "experimento string, n bigint"), path)
+    IO.append_log(spark.createDataFrame([("e", 1.5)], "experimento string, n double"), path)
+    assert {r.experimento: r.n for r in IO.read_log(spark, path).collect()} == {"a": None, "b": None, "c": 1.0, "d": float(2**40), "e": 1.5}
     both = IO.combined_log(spark.createDataFrame([(1,)], "n int"), spark.createDataFrame([("z", 2)], "s string, n bigint"))
     assert both.count() == 2
 
@@ -81,6 +85,10 @@ def test_medoids_by_cut(spark, tmp_path):
     rows = [(201810, 1, [1.0, 2.0]), (201912, 1, [3.0])]
     IO.write_medoids(spark.createDataFrame(rows, "cut int, medoid_id int, seq array<double>"), str(tmp_path / "m"))
     assert [r.seq for r in IO.read_medoids(spark, str(tmp_path / "m"), 201912).collect()] == [[3.0]]
+    again = spark.createDataFrame([(201912, 1, [4.0])], "cut int, medoid_id int, seq array<double>")
+    IO.write_medoids(again, str(tmp_path / "m"))
+    assert [r.seq for r in IO.read_medoids(spark, str(tmp_path / "m"), 201912).collect()] == [[4.0]]
+    assert [r.seq for r in IO.read_medoids(spark, str(tmp_path / "m"), 201810).collect()] == [[1.0, 2.0]]
 
 
 def test_finished_results(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lagfield.operators import leaderboard as L
 from lagfield.operators import naive as N
 from lagfield.operators.hurdle import predict_variant, usable_features
-from lagfield.operators.learners import TreeParams, boosted_l1, design, least_squares
+from lagfield.operators.learners import TreeParams, boosted_l1, design, least_squares, steady_rows, tweedie_trees
 from lagfield.operators.linear import forecast_on_lags, stock_forecast, stock_group_search
 from lagfield.operators.metrics import wape
 from lagfield.operators.product_features import regression_stock_table
@@ -72,7 +72,7 @@ def steps(spark):
 
 def test_design_flags_nulls_and_sizes_categories(steps):
     plan = design(steps, steps, ["a", "b", "kind"], ["kind"])
-    assert plan.flagged == ["b"] and plan.categorical == {"kind": 4} and plan.names == ["a", "b", "kind", "b_null"]
+    assert plan.flagged == ["b"] and plan.categorical == {"kind": 5} and plan.names == ["a", "b", "kind", "b_null"]
     attrs = plan.vectors(steps).schema["features"].metadata["ml_attr"]["attrs"]
     assert [x["idx"] for x in attrs["nominal"]] == [2]
 
@@ -102,6 +102,50 @@ def test_variants_score_every_row(steps, variant):
     assert all(r.pred_scaled is not None and 0 <= r.pred_scaled <= 50 and 0 <= r.probability <= 1 for r in rows)
 
 
+def test_tweedie_beats_a_constant_or_raises(spark, steps):
+    plan = design(steps, steps, ["a", "b"])
+    rows = steady_rows(plan.vectors(steps), ["features", F.col("target").alias("label")])
+    fitted = tweedie_trees(rows, 1, TreeParams(trees=10, depth=3, min_rows=5))
+    assert fitted.deviance < fitted.constant_deviance
+    scored = fitted.predict(rows, "p")
+    assert scored.agg(F.max(F.abs(F.col("p") - F.col("label")) / F.col("label"))).first()[0] < 0.5
+    with pytest.raises(ValueError):
+        tweedie_trees(rows.withColumn("label", F.lit(0.0)), 1, FEW)
+    with pytest.raises(ArithmeticError):
+        tweedie_trees(rows.withColumn("label", F.lit(2.0)), 1, FEW)
+
+
+@pytest.mark.parametrize("variant", ["one_stage", "hurdle"])
+def test_tweedie_variants_match_the_mean(spark, variant):
+    """On the test data both routes are near the 12-month mean and below the last month."""
+    sf = "/root/testdata/sf0.01"
+    rows = Q.QUERIES["tweedie_one_stage" if variant == "one_stage" else "hurdle_global"](spark, sf)
+    got = wape(rows, "tn_real", "tn").first().wape
+    truth = rows.select("product_id", "tn_real")
+    base = {}
+    for name in ("mean_12", "last_month"):
+        base[name] = wape(truth.join(N.BASELINES[name](Q.history(spark, sf), Q.CONTROL), "product_id"), "tn_real", "tn").first().wape
+    assert got < 1.05 * base["mean_12"] and got < base["last_month"]
+
+
+def test_many_categories_stay_categories(spark):
+    df = spark.createDataFrame([(i, i % 300, float(i % 300 % 2), 1.0 * (i % 300 % 2)) for i in range(3000)] + [(3000, None, 1.0, 1.0)], "product_id long, kind int, y double, target double")
+    plan = design(df, df, ["kind"], ["kind"])
+    assert plan.categorical == {"kind": 301} and plan.bins == 301
+    assert df.where("kind is null").transform(plan.vectors).first().features[0] == 300
+    fitted = boosted_l1(df, df, ["kind"], ["kind"], params=TreeParams(trees=3, depth=2, min_rows=1, row_share=1.0, columns="all"), target="y")
+    assert wape(fitted.rows, "y", "tn").first().wape < 0.2
+
+
+def test_naive_keys(spark):
+    rows = [(1, p, month(i), float(i + p)) for p in (1, 2) for i in range(24)]
+    df = spark.createDataFrame(rows, "customer_id bigint, product_id bigint, periodo int, tn double")
+    keys = ("customer_id", "product_id")
+    assert {(r.customer_id, r.product_id, r.tn) for r in N.last_month(df, month(23), keys).collect()} == {(1, 1, 24.0), (1, 2, 25.0)}
+    out = two_pass_forecast(df.where("product_id = 1 or periodo >= 201610"), month(23), keys)
+    assert {(r.product_id) for r in out.collect()} == {1, 2}
+
+
 def test_segment_columns_are_masked():
     cols = ["lag_0", "cluster_v2_is_3", "regime"]
     assert usable_features(cols, "hurdle") == ["lag_0"]
