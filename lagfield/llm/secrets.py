@@ -171,7 +171,7 @@ def secret_spans(
     ``kind`` is the rule's number. Null and empty texts have no spans; repeated rows and null ids give a row each.
     """
     docs = clean_columns(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("key", F.xxhash64("text"))
+    docs = docs.withColumn("key", F.xxhash64("id", "text"))
     indexed = [r for r in rules if trigram_query(r.pattern)]
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     if indexed:
