@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import wraps
 
@@ -32,8 +33,9 @@ from lagfield.operators.product_features import ProductConfig, regression_stock_
 from lagfield.operators.product_features import build_features as build_product
 from lagfield.operators.seasonal import two_pass_forecast
 from lagfield.plans.pair_hurdle import Validation, evaluate
+from lagfield.session import shared_dir, stored, tune
+from lagfield.sources import io as IO
 from lagfield.sources import testviews as V
-from lagfield.session import stored, tune
 
 # Anchors of the test data: one to score, two with a known target.
 SCORE, SEASON, CONTROL = 200107, 200007, 200105
@@ -349,6 +351,58 @@ def full_pair(spark, d):
     return build_pair(panel(spark, d), PairConfig(), V.products(spark, d), V.stocks(spark, d))
 
 
+def pair_feature_table(spark, d):
+    """All 82 pair features of every pair and month."""
+    return tidy(_pair_table(spark, d).select(*GRAIN, *full_pair_names()))
+
+
+def leakage_check(spark, d):
+    """Product features at an anchor, built with and without the months after it: rows that differ, per feature."""
+    known = observed(spark, d)
+    groups = {"windows": (3, 6, 12), "deltas": True, "shares": True}
+    full = build_product(P.densify(known, ["product_id"]), ProductConfig(**groups), attributes=V.products(spark, d))
+    past = known.where(F.col("periodo") <= CONTROL)
+    cut = build_product(P.densify(past, ["product_id"]), ProductConfig(**groups), attributes=V.products(spark, d))
+    at = F.col("periodo") == CONTROL
+    return M.changed_features(full.table.where(at), cut.table.where(at), ["product_id"], full.features)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    run = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/lagfield/{run}/{name}-{uuid.uuid4().hex}"
+
+
+def sales_csv_file(spark, d):
+    """The facts written as compressed text in order, and read again by name and type."""
+    path = _folder(spark, "sales-csv")
+    facts = sales(spark, d)
+    IO.write_csv(facts, path, "gzip", GRAIN)
+    return IO.read_delimited(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in facts.schema))
+
+
+def panel_month_file(spark, d):
+    """The panel written by month; one month is read back."""
+    path = _folder(spark, "panel-months")
+    IO.write_panel(panel(spark, d), path, files=2)
+    return spark.read.parquet(path).where(F.col("periodo") == CONTROL).select(*panel(spark, d).columns)
+
+
+def run_log_file(spark, d):
+    """Runs logged one by one, with columns and types that differ, and read as one table."""
+    path = _folder(spark, "run-log")
+    one = M.wape(_control(spark, d, "mean_12"), "tn_real", "tn").select(F.lit("mean_12").alias("run"), "wape")
+    IO.append_log(one, path)
+    counted = _control(spark, d, "last_month").agg(F.lit("last_month").alias("run"), F.count(F.lit(1)).cast("int").alias("n"))
+    IO.append_log(counted, path)
+    IO.append_log(counted.select(F.lit("again").alias("run"), F.col("n").cast("bigint")), path)
+    return tidy(IO.read_log(spark, path).select("run", "wape", F.col("n").cast("bigint")))
+
+
+def _control(spark, d, name):
+    real = observed(spark, d).where(F.col("periodo") == shift_period(CONTROL, 2)).select("product_id", F.col("tn").alias("tn_real"))
+    return real.join(N.BASELINES[name](observed(spark, d).where(F.col("periodo") <= CONTROL), CONTROL), "product_id")
+
+
 def collapse_to_products(spark, d):
     """Un-scaled pair predictions summed to products, with the truth."""
     rows = scaled(panel(spark, d)).where(F.col("periodo") == CONTROL).withColumn("pred_scaled", F.col("tn_esc"))
@@ -822,5 +876,6 @@ QUERIES: dict[str, Query] = {
         ols_lags, ols_stock_search, gbt_l1, gbt_importance, tweedie_one_stage, hurdle_global, hurdle_cluster,
         hurdle_per_cluster, seasonal_series, leaderboard, leaderboard_rmse, ensemble,
         noise_lognormal, product_sample,
+        pair_feature_table, leakage_check, sales_csv_file, panel_month_file, run_log_file,
     )
 }

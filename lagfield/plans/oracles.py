@@ -750,3 +750,25 @@ SQL["noise_lognormal"] = with_(
     f"SELECT product_id, periodo, {r(f'tn * exp(0.3 * sqrt(-2.0 * ln({unit_sql(1)})) * cos(2.0 * pi() * {unit_sql(2)}))', 'tn')} FROM obs",
     "obs",
 )
+
+
+# --- whole feature sets, files ----------------------------------------------
+
+_GROUPS = ("pair_lags", "pair_rolling", "pair_deltas", "pair_purchases", "pair_shares", "fill_rate_lags", "pair_stock")
+SQL["pair_feature_table"] = (
+    f"SELECT * REPLACE ({r('ewm_3')}, {r('ewm_6')}) FROM (SELECT {G3}, promedio_nivel FROM ({SQL['pair_scaling']})) level "
+    + " ".join(f"JOIN ({SQL[g]}) {g} USING ({G3})" for g in _GROUPS)
+)
+SQL["leakage_check"] = "SELECT unnest([" + ", ".join(
+    f"'{f}'" for f in (*P_LAGS, *P_ROLLS, *DELTAS, *SHARES) if not f.endswith("_9")
+) + "]) AS feature, CAST(0 AS BIGINT) AS changed"
+SQL["sales_csv_file"] = with_("SELECT * FROM sales", "sales")
+SQL["panel_month_file"] = with_(f"SELECT * FROM panel WHERE periodo = {CONTROL}", "panel")
+_joined = "(SELECT o.tn AS x, p.tn AS y FROM (SELECT * FROM obs WHERE periodo = {t}) o JOIN ({sql}) p USING (product_id))"
+SQL["run_log_file"] = with_(
+    f"""SELECT 'mean_12' AS run, {r('sum(abs(x - y)) / sum(x)', 'wape')}, CAST(NULL AS BIGINT) AS n
+FROM {_joined.format(t=add(CONTROL, 2), sql=mean_sql(CONTROL))}
+UNION ALL SELECT k.run, CAST(NULL AS DOUBLE), count(*) FROM {_joined.format(t=add(CONTROL, 2), sql=last_sql(CONTROL))},
+(VALUES ('last_month'), ('again')) k(run) GROUP BY k.run""",
+    "obs",
+)
