@@ -353,7 +353,7 @@ def full_pair(spark, d):
 
 def pair_feature_table(spark, d):
     """All 82 pair features of every pair and month."""
-    return tidy(_pair_table(spark, d).select(*GRAIN, *full_pair_names()))
+    return tidy(_pair_table(spark, d).select(*GRAIN, *full_pair_names()), fine=("ewm_3", "ewm_6"))
 
 
 def leakage_check(spark, d):

@@ -756,11 +756,11 @@ SQL["noise_lognormal"] = with_(
 
 _GROUPS = ("pair_lags", "pair_rolling", "pair_deltas", "pair_purchases", "pair_shares", "fill_rate_lags", "pair_stock")
 SQL["pair_feature_table"] = (
-    f"SELECT * REPLACE ({r('ewm_3')}, {r('ewm_6')}) FROM (SELECT {G3}, promedio_nivel FROM ({SQL['pair_scaling']})) level "
+    f"SELECT * FROM (SELECT {G3}, promedio_nivel FROM ({SQL['pair_scaling']})) level "
     + " ".join(f"JOIN ({SQL[g]}) {g} USING ({G3})" for g in _GROUPS)
 )
 SQL["leakage_check"] = "SELECT unnest([" + ", ".join(
-    f"'{f}'" for f in (*P_LAGS, *P_ROLLS, *DELTAS, *SHARES) if not f.endswith("_9")
+    f"'{f}'" for f in (*P_LAGS, *P_ROLLS, *DELTAS, *SHARES) if not (f.startswith("r") and f.endswith("_9"))
 ) + "]) AS feature, CAST(0 AS BIGINT) AS changed"
 SQL["sales_csv_file"] = with_("SELECT * FROM sales", "sales")
 SQL["panel_month_file"] = with_(f"SELECT * FROM panel WHERE periodo = {CONTROL}", "panel")
