@@ -248,9 +248,11 @@ def line_dedup(
     # Only lines seen twice, or near another, can go.
     doubtful = named.where((F.col("copies") > 1) | (F.col("n_links") > 0))
     doubtful = doubtful.where(F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")) >= min_words)
-    doubtful = doubtful.select("line", "class_first")
+    # two 64-bit hashes stand for the text of a line in this join
+    name = lambda: [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("line"), "line").alias("h2")]
+    doubtful = doubtful.select(*name(), "class_first")
     places = given.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    again = places.join(doubtful, "line").where(
+    again = places.select("id", "line_no", *name()).join(doubtful, ["h", "h2"]).where(
         ~F.struct("id", "line_no").eqNullSafe(F.struct(F.col("class_first.id").alias("id"), F.col("class_first.line_no").alias("line_no")))
     )
     gone = again.groupBy("id").agg(F.collect_set("line_no").alias("gone"))
