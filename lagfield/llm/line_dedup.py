@@ -84,9 +84,8 @@ def edit_distance_within(a: Column, b: Column, threshold: int) -> Column:
     def distance(pair: Column) -> Column:
         pattern, text = pair["a"], pair["b"]
         gap = F.size(text) - F.size(pattern)
-        diagonal = F.shiftleft(one, F.lit(threshold)) if threshold == 0 else F.element_at(
-            F.array(*[F.lit(1 << d).cast("long") for d in range(width)]), threshold - gap + 1
-        )
+        # the bit of the row that ends at the pattern's last character
+        diagonal = F.get(F.array(*[F.lit(1 << d).cast("long") for d in range(width)]), threshold - gap)
 
         def step(state: Column, j: Column) -> Column:
             here = F.get(text, j - 1)

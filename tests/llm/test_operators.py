@@ -323,14 +323,23 @@ def test_unigram_model():
     model = pieces.parse_model(data)
     reference = sentencepiece.SentencePieceProcessor(model_proto=data)
     assert model.pieces == tuple(reference.id_to_piece(i) for i in range(reference.vocab_size()))
-    # the same pieces read as a unigram model: model_type is field 3 of the trainer settings, field 2 of the file
-    at = data.index(b"\x18\x02", data.rindex("▁".encode()) if False else data.index(b"tok_v0"))
+    # the same pieces read as a unigram model: model_type is field 3 of the trainer settings
+    at = data.index(b"\x18\x02", data.index(b"tok_v0"))
     unigram = data[:at] + b"\x18\x01" + data[at + 2 :]
-    assert pieces.parse_model(unigram).model_type == pieces.UNIGRAM
+    model = pieces.parse_model(unigram)
+    assert model.model_type == pieces.UNIGRAM and not model.by_chunk
     codec = pieces.Codec(unigram)
-    texts = ["the house of the rising sun", "a  b", "été à la mer 😀", ""]
-    ids, same, back = codec.encode(texts)
-    assert [i.tolist() for i in ids] == codec.reference.encode(texts) and same.all() and back.all()
+    scores = dict(zip(model.pieces, model.scores))
+    for text in ["the house of the rising sun", "a  b", "one two three", "unbelievable"]:
+        tokens = codec.encode([text])[0][0].tolist()
+        plain = pieces.MARK + text.replace(" ", pieces.MARK)
+        best = [0.0] + [-1e18] * len(plain)
+        for end in range(1, len(plain) + 1):
+            for begin in range(max(0, end - 16), end):
+                if plain[begin:end] in scores:
+                    best[end] = max(best[end], best[begin] + scores[plain[begin:end]])
+        assert abs(sum(model.scores[i] for i in tokens) - best[-1]) < 1e-3
+        assert codec.decode([tokens]) == [text]
 
 
 def test_encode_and_decode(spark, odd):
