@@ -54,20 +54,34 @@ def with_running_share(shares: DataFrame, key: str, limit: int = SMALL_ROWS) ->
     return attach(shares, side, ["tn_pct"], [key], limit=limit)
 
 
-def largest(shares: DataFrame, key: str, n: int = 20, limit: int = SMALL_ROWS) -> DataFrame:
-    """The ``n`` largest with their place and running share."""
+def largest(shares: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """The ``n`` largest with their place and running share.
+
+    Only values at or above the last one are summed; there are at most ``n`` of them.
+    """
     kept = stored(shares, "shares")
-    top = with_running_share(kept, key, limit).orderBy(F.col("tn").desc(), key).limit(n)
-    return top.withColumn("puesto", F.row_number().over(Window.orderBy(F.col("tn").desc(), key)))
+    top = kept.orderBy(F.col("tn").desc(), key).limit(n)
+    values = kept.where(F.col("tn_pct") >= top.agg(F.min("tn_pct")).scalar()).groupBy("tn_pct").agg(F.sum("tn_pct").alias("_s"))
+    run = values.select("tn_pct", F.sum("_s").over(Window.orderBy(F.col("tn_pct").desc())).alias("tn_pct_acumulado"))
+    place = F.row_number().over(Window.orderBy(F.col("tn").desc(), key))
+    return top.join(F.broadcast(run), "tn_pct", "left").withColumn("puesto", place)
+
 
+def smallest(shares: DataFrame, key: str, n: int = 300) -> DataFrame:
+    """The ``n`` smallest, with their place and running share counted from the largest.
 
-def smallest(shares: DataFrame, key: str, n: int = 300, limit: int = SMALL_ROWS) -> DataFrame:
-    """The ``n`` smallest, with their place counted from the largest."""
+    The running share is the total less the values below, of which there are at most ``n``.
+    """
     kept = stored(shares, "shares")
-    rows = kept.count()
-    low = with_running_share(kept, key, limit).orderBy(F.col("tn").asc(), F.col(key).desc()).limit(n)
+    low = kept.orderBy(F.col("tn").asc(), F.col(key).desc()).limit(n)
+    values = kept.where(F.col("tn_pct") <= low.agg(F.max("tn_pct")).scalar()).groupBy("tn_pct").agg(F.sum("tn_pct").alias("_s"))
+    below = F.coalesce(F.sum("_s").over(Window.orderBy("tn_pct").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    total = kept.agg(F.sum("tn_pct")).scalar()
+    run = values.select("tn_pct", below.alias("_below"))
     from_end = F.row_number().over(Window.orderBy(F.col("tn").asc(), F.col(key).desc()))
-    return low.withColumn("puesto", F.lit(rows) + 1 - from_end)
+    rows = kept.agg(F.count(F.lit(1))).scalar()
+    out = low.join(F.broadcast(run), "tn_pct", "left").withColumn("tn_pct_acumulado", total - F.col("_below"))
+    return out.drop("_below").withColumn("puesto", (rows + 1 - from_end).cast("int"))
 
 
 def history_completeness(facts: DataFrame, requested: DataFrame, year: int) -> DataFrame:
