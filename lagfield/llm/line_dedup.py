@@ -49,24 +49,23 @@ def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> C
     return F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
 
 
-def _index(line: Column, parts: int) -> list[Column]:
-    length = F.length(line)
+def _index(line: Column, length: Column, parts: int) -> list[Column]:
     return [_key(length, i, line, *_segment(length, parts, i)) for i in range(parts)]
 
 
-def _probes(line: Column, threshold: int) -> list[Column]:
+def _probes(line: Column, length: Column, threshold: int) -> list[Column]:
     """Keys of the substrings that may be a whole segment of a line up to ``threshold`` characters shorter.
 
     The shifts are those that bounded edits before the segment and behind it allow.
     """
     found, parts = [], threshold + 1
     for gap in range(parts):
-        length = F.length(line) - gap
+        shorter = length - gap
         for i in range(parts):
-            start, size = _segment(length, parts, i)
+            start, size = _segment(shorter, parts, i)
             for shift in range(max(-i, gap - (threshold - i)), min(i, gap + (threshold - i)) + 1):
-                fits = (start + shift >= 0) & (start + shift + size <= F.length(line)) & (length >= parts)
-                found.append(F.when(fits, _key(length, i, line, start + shift, size)))
+                fits = (start + shift >= 0) & (start + shift + size <= length) & (shorter >= parts)
+                found.append(F.when(fits, _key(shorter, i, line, start + shift, size)))
     return found
 
 
@@ -121,12 +120,12 @@ def edit_distance_within(a: Column, b: Column, threshold: int) -> Column:
     return let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), distance)
 
 
-def _mostly_whole(a: Column, b: Column, parts: int, threshold: int) -> Column:
+def _mostly_whole(a: Column, length: Column, b: Column, parts: int, threshold: int) -> Column:
     """A cheap condition that close lines meet: all but ``threshold`` of ``parts`` segments of ``a`` occur in ``b``,
     at most ``threshold`` characters off their place."""
     whole = F.lit(0)
     for i in range(parts):
-        start, size = _segment(F.length(a), parts, i)
+        start, size = _segment(length, parts, i)
         first = F.greatest(start - threshold, F.lit(0))
         room = F.substring(b, first + 1, start + size + threshold - first)
         whole = whole + F.when(F.contains(room, F.substring(a, start + 1, size)), 1).otherwise(0)
@@ -144,29 +143,33 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
     """Pairs ``(a, b)`` of different lines within the threshold, each pair once."""
     t = config.threshold
-    joined = lines.where(F.length("line") >= max(config.min_chars, GRAM * (t + 1))).select("line_id", "line")
-    line = F.col("line")
-    entries = joined.select(F.explode(F.array(*_index(line, t + 1))).alias("k"), F.col("line_id").alias("a"))
+    # the length of a line is counted once, not for each of its segments
+    joined = lines.where(F.length("line") >= max(config.min_chars, GRAM * (t + 1)))
+    joined = joined.select("line_id", "line", F.length("line").alias("n"))
+    line, length = F.col("line"), F.col("n")
+    entries = joined.select(F.explode(F.array(*_index(line, length, t + 1))).alias("k"), F.col("line_id").alias("a"))
     probes = joined.select(
-        F.explode(F.array(*_probes(line, t))).alias("k"), F.col("line_id").alias("b")
+        F.explode(F.array(*_probes(line, length, t))).alias("k"), F.col("line_id").alias("b")
     ).where(F.col("k").isNotNull())
-    # Most segments have one index line; only the others need a look at how many.
-    counted = entries.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a"))
-    single = counted.where(F.col("n") == 1)
-    several = stored(counted.where(F.col("n") > 1).select("k", "n"), "line-several")
-    alone = single.hint("shuffle_hash").join(probes, "k").where(F.col("a") != F.col("b")).select("a", "b")
-
-    warm = several.where(F.col("n") <= config.hot).select("k")
-    hot = several.where(F.col("n") > config.hot).select("k")
-    met = entries.join(warm, "k").join(probes, "k").where(F.col("a") != F.col("b")).select("a", "b")
+    # Most segments have one index line, met by its own probe only; what is left is small.
+    counted = entries.groupBy("k").agg(F.count(F.lit(1)).alias("held"), F.min("a").alias("a"))
+    hits = stored(
+        counted.hint("shuffle_hash").join(probes, "k").where((F.col("held") > 1) | (F.col("a") != F.col("b"))), "line-hits"
+    )
+    alone = hits.where("held = 1").select("a", "b")
+    several = hits.where("held > 1").select("k", "held").distinct()
+    members = stored(entries.join(several, "k"), "line-members")
+    warm, hot = F.col("held") <= config.hot, F.col("held") > config.hot
+    met = members.where(warm).select("k", "a").join(hits.where(warm).select("k", "b"), "k")
+    met = met.where(F.col("a") != F.col("b")).select("a", "b")
 
     in_hot = stored(
-        entries.join(hot, "k").select(F.col("a").alias("line_id"))
-        .unionByName(probes.join(hot, "k").select(F.col("b").alias("line_id"))).distinct(),
+        members.where(hot).select(F.col("a").alias("line_id"))
+        .unionByName(hits.where(hot).select(F.col("b").alias("line_id"))).distinct(),
         "line-hot",
     )
     grams = joined.join(in_hot, "line_id").select(
-        "line_id", F.length("line").alias("n"), F.explode(F.sequence(F.lit(1), F.length("line") - (GRAM - 1))).alias("p"), "line"
+        "line_id", "n", F.explode(F.sequence(F.lit(1), F.col("n") - (GRAM - 1))).alias("p"), "line"
     ).select("line_id", "n", "p", F.xxhash64(F.substring("line", F.col("p"), GRAM)).alias("g"))
     grams = attach(grams, stored(grams.groupBy("g").count(), "line-grams"), ["g"], ["line_id", "p"])
     rarest = Window.partitionBy("line_id").orderBy("count", "g", "p")
@@ -181,16 +184,13 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
 
     pairs = alone.unionByName(met).unionByName(met_fine)
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    texts = joined.select("line_id", "line")
-    left = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
-    both = left.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
-    shorter = F.length("x") <= F.length("y")
-    both = both.select(
-        "a", "b",
-        F.when(shorter, F.col("x")).otherwise(F.col("y")).alias("x"),
-        F.when(shorter, F.col("y")).otherwise(F.col("x")).alias("y"),
-    )
-    near = stored(both.where(_mostly_whole(F.col("x"), F.col("y"), PARTS, t)), "line-near")
+    text = F.struct("n", "line")
+    left = pairs.join(joined.select(F.col("line_id").alias("a"), text.alias("x")), "a")
+    both = left.join(joined.select(F.col("line_id").alias("b"), text.alias("y")), "b")
+    shorter = F.least("x", "y")
+    both = both.select("a", "b", shorter.alias("x"), F.greatest("x", "y").alias("y"))
+    both = both.select("a", "b", F.col("x.n").alias("n"), F.col("x.line").alias("x"), F.col("y.line").alias("y"))
+    near = stored(both.where(_mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, t)), "line-near")
     edits = edit_distance_within(F.col("x"), F.col("y"), t)
     return stored(near.where(edits <= t).select("a", "b"), "line-links")
 
