@@ -53,19 +53,17 @@ def _index(line: Column, length: Column, parts: int) -> list[Column]:
     return [_key(length, i, line, *_segment(length, parts, i)) for i in range(parts)]
 
 
-def _probes(line: Column, length: Column, threshold: int) -> list[Column]:
-    """Keys of the substrings that may be a whole segment of a line up to ``threshold`` characters shorter.
+def _probes(line: Column, length: Column, threshold: int, gap: int) -> list[Column]:
+    """Keys of the substrings that may be a whole segment of a line ``gap`` characters shorter.
 
     The shifts are those that bounded edits before the segment and behind it allow.
     """
-    found, parts = [], threshold + 1
-    for gap in range(parts):
-        shorter = length - gap
-        for i in range(parts):
-            start, size = _segment(shorter, parts, i)
-            for shift in range(max(-i, gap - (threshold - i)), min(i, gap + (threshold - i)) + 1):
-                fits = (start + shift >= 0) & (start + shift + size <= length) & (shorter >= parts)
-                found.append(F.when(fits, _key(shorter, i, line, start + shift, size)))
+    found, parts, shorter = [], threshold + 1, length - gap
+    for i in range(parts):
+        start, size = _segment(shorter, parts, i)
+        for shift in range(max(-i, gap - (threshold - i)), min(i, gap + (threshold - i)) + 1):
+            fits = (start + shift >= 0) & (start + shift + size <= length) & (shorter >= parts)
+            found.append(F.when(fits, _key(shorter, i, line, start + shift, size)))
     return found
 
 
@@ -132,6 +130,18 @@ def _mostly_whole(a: Column, length: Column, b: Column, parts: int, threshold: i
     return whole >= parts - threshold
 
 
+def _pieces_whole(a: Column, length: Column, b: Column, threshold: int) -> Column:
+    """The same for pieces of a few characters, of which each edit spoils one at most."""
+    size = 2 * GRAM
+    starts = F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1)), F.lit(size))
+
+    def spoiled(at: Column) -> Column:
+        first = F.greatest(at - threshold, F.lit(1))
+        return ~F.contains(F.substring(b, first, at + size + threshold - first), F.substring(a, at, size))
+
+    return F.size(F.filter(starts, spoiled)) <= threshold
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """Each different line once: its number, text, copies and first place (document, line)."""
     lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -148,9 +158,12 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
     joined = joined.select("line_id", "line", F.length("line").alias("n"))
     line, length = F.col("line"), F.col("n")
     entries = joined.select(F.explode(F.array(*_index(line, length, t + 1))).alias("k"), F.col("line_id").alias("a"))
-    probes = joined.select(
-        F.explode(F.array(*_probes(line, length, t))).alias("k"), F.col("line_id").alias("b")
-    ).where(F.col("k").isNotNull())
+    # one projection for each gap, small enough to be compiled
+    probes = None
+    for gap in range(t + 1):
+        some = joined.select(F.explode(F.array(*_probes(line, length, t, gap))).alias("k"), F.col("line_id").alias("b"))
+        probes = some if probes is None else probes.unionByName(some)
+    probes = probes.where(F.col("k").isNotNull())
     # Most segments have one index line, met by its own probe only; what is left is small.
     counted = entries.groupBy("k").agg(F.count(F.lit(1)).alias("held"), F.min("a").alias("a"))
     hits = stored(
@@ -190,7 +203,9 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
     shorter = F.least("x", "y")
     both = both.select("a", "b", shorter.alias("x"), F.greatest("x", "y").alias("y"))
     both = both.select("a", "b", F.col("x.n").alias("n"), F.col("x.line").alias("x"), F.col("y.line").alias("y"))
-    near = stored(both.where(_mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, t)), "line-near")
+    rough = _mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, t)
+    exact = F.when(rough, _pieces_whole(F.col("x"), F.col("n"), F.col("y"), t))
+    near = stored(both.where(exact), "line-near")
     edits = edit_distance_within(F.col("x"), F.col("y"), t)
     return stored(near.where(edits <= t).select("a", "b"), "line-links")
 
