@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-One pass over the documents finds every n-gram that a test item has too, and cuts out the words around. Their document
-frequencies say which n-grams of an item are rare; passages without a rare one are dropped. The rest are joined to
-the items on their seeds and aligned, so edited copies score by what is left of them.
+One pass over the documents finds the n-grams that a test item has too, and cuts out the words around. How common an
+n-gram is among the items only says which seeds of an item are probed, never which documents are looked at: the
+common ones are left out only where an alignment of the score asked for must hold others too. A part with too few of
+the item's words for that score is passed over; the rest are aligned, so edited copies score by what is left of them.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +30,13 @@ class DecontaminationConfig:
     """Seeds are ``gram`` words long. A passage is a leak of an item if the alignment reaches ``min_score``.
 
     The score is the alignment's part of a full match of the item: equal words earn 2, other words and gaps cost 1.
-    An n-gram is rare for an item if its document frequency is at most ``rare_factor`` times the item's median and
-    ``rare_docs`` documents, whichever is more. Items of under ``gram`` words match by their whole text.
+    Items of under ``gram`` words match by their whole text.
     Items are taken in blocks of ``block``, so a task holds a bounded part of the benchmark.
     """
 
     gram: int = 4
     min_score: float = 0.6
     min_words: int = 8
-    rare_factor: int = 4
-    rare_docs: int = 100
     block: int = 20_000
 
 
@@ -56,52 +55,119 @@ def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return _mixed(joined)
 
 
-def _item_words(config: DecontaminationConfig):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for batch in batches:
-            rows = []
-            for item, text in zip(batch["item"], batch["text"]):
-                words = fold_words(text)
-                if len(words) >= 1:
-                    hashes = np.array([known[w] for w in words], np.uint64)
-                    rows.append((item, hashes.astype(np.int64), np.unique(_grams(hashes, config.gram)).astype(np.int64)))
-            yield pd.DataFrame(rows, columns=["item", "words", "grams"])
+def _item_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known = WordHashes()
+    for batch in batches:
+        rows = []
+        for item, text in zip(batch["item"], batch["text"]):
+            words = fold_words(text)
+            if len(words) >= 1:
+                rows.append((item, np.array([known[w] for w in words], np.uint64).astype(np.int64)))
+        yield pd.DataFrame(rows, columns=["item", "words"])
 
-    return run
 
+class _Block:
+    """A block of items as flat arrays, to be sent to the tasks once.
 
-def _passages(grams: np.ndarray, longest: int, config: DecontaminationConfig):
-    """Runs of words around the n-grams of ``grams`` (sorted): document, place, words, n-grams met."""
-    low = np.zeros(1 << 20, bool)
-    low[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+    An alignment of ``m`` equal words and ``e`` other steps has at most ``e + 1`` runs, so with seeds of ``k`` words it
+    holds ``m - (k - 1)(e + 1)`` of the item's n-grams at least. With ``2m - e`` the least score asked for and ``m`` at
+    most the item's length this is ``need``. The n-grams most common in the block are no seeds as far as ``need``
+    allows: the others must then be met ``need`` times less the number left out.
+    """
+
+    def __init__(self, rows: pd.DataFrame, config: DecontaminationConfig) -> None:
+        size = config.gram
+        self.items = rows["item"].to_numpy(np.int64)
+        self.words = [np.asarray(w, np.int64) for w in rows["words"]]
+        lengths = np.array([len(w) for w in self.words])
+        self.asked = np.maximum(config.min_score * 2 * lengths, 2 * np.minimum(config.min_words, lengths)) - 1e-9
+        self.need = np.maximum(1, np.ceil((size - 1) * (self.asked - 1) - (2 * size - 3) * lengths - 1e-6)).astype(np.int64)
+        # as many words as an alignment of that score can run over in a document
+        self.reach = lengths + np.maximum(0, np.floor(2 * lengths - self.asked)).astype(np.int64)
+        own = [_grams(w.view(np.uint64), size) for w in self.words]
+        everywhere, common = np.unique(np.concatenate([np.unique(g) for g in own]), return_counts=True)
+        keys, owners = [], []
+        for i, grams in enumerate(own):
+            often = common[np.searchsorted(everywhere, grams)]
+            out = min(int(self.need[i] - 1), int((often > 1).sum()))
+            seeds = np.unique(grams[np.argsort(-often, kind="stable")[out:]])
+            self.need[i] -= out
+            keys.append(seeds)
+            owners.append(np.full(len(seeds), i))
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(keys, kind="stable")
+        self.owners = owners[order]
+        self.grams, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
+        self.low = np.zeros(1 << 20, bool)
+        self.low[(self.grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def places(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items (their numbers) and places of the seeds met in a document, by item and place."""
+        maybe = np.flatnonzero(self.low[(own & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.grams, own[maybe]), len(self.grams) - 1)
+        hit = self.grams[at] == own[maybe]
+        maybe, at = maybe[hit], at[hit]
+        count = self.count[at]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        owner, place = self.owners[np.repeat(self.first[at], count) + within], np.repeat(maybe, count)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], place[order]
+
+    def windows(self, hashes: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
+        """Item, begin and end of the parts of a document that may hold an alignment of the score asked for."""
+        owner, place = self.places(_grams(hashes, size))
+        if not len(owner):
+            return
+        # as many seeds as needed, within the reach of the item
+        last = np.arange(len(owner)) + self.need[owner] - 1
+        inside = last < len(owner)
+        end = np.minimum(last, len(owner) - 1)
+        near = np.flatnonzero(inside & (owner[end] == owner) & (place[end] - place <= self.reach[owner]))
+        k = 0
+        while k < len(near):
+            item = int(owner[near[k]])
+            reach = int(self.reach[item])
+            begin, stop = place[near[k]] - reach, place[end[near[k]]] + size + reach
+            k += 1
+            while k < len(near) and owner[near[k]] == item and place[near[k]] - reach <= stop:
+                stop = place[end[near[k]]] + size + reach
+                k += 1
+            begin, stop = max(0, int(begin)), min(len(hashes), int(stop))
+            # the score is at most 2 for each word of the item that is there
+            if 2 * np.isin(self.words[item], hashes[begin:stop].view(np.int64)).sum() >= self.asked[item]:
+                yield item, begin, stop
+
+
+def _leaks(block: Broadcast, config: DecontaminationConfig):
+    """Pairs of a document and an item with their score; equal parts are aligned once in a batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
+        known, asked = WordHashes(), block.value
         for batch in batches:
             ids, texts = batch["id"].to_numpy(), batch["text"].tolist()
-            rows = []
             for a, b in _chunks(texts):
+                classes: dict = {}
+                parts, numbers, pairs = [], [], []
                 for k in range(a, b):
                     words = fold_words(texts[k])
                     if not words:
                         continue
                     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                    own = _grams(hashes, config.gram)
-                    maybe = np.flatnonzero(low[(own & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                    if not len(maybe):
-                        continue
-                    at = np.minimum(np.searchsorted(grams, own[maybe]), len(grams) - 1)
-                    hits = maybe[grams[at] == own[maybe]]
-                    if not len(hits):
-                        continue
-                    # hits nearer than an item's length share a passage
-                    for group in np.split(hits, np.flatnonzero(np.diff(hits) > longest) + 1):
-                        begin, end = max(0, group[0] - longest), min(len(hashes), group[-1] + config.gram + longest)
-                        rows.append(
-                            (ids[k], begin, hashes[begin:end].astype(np.int64), np.unique(own[group]).astype(np.int64))
-                        )
-            yield pd.DataFrame(rows, columns=["id", "at", "words", "grams"])
+                    for item, begin, end in asked.windows(hashes, config.gram):
+                        part = hashes[begin:end].view(np.int64)
+                        number = classes.setdefault((item, part.tobytes()), len(parts))
+                        if number == len(parts):
+                            parts.append(part)
+                            numbers.append(item)
+                        pairs.append((ids[k], number))
+                if not pairs:
+                    continue
+                scores = _part_scores(parts, [asked.words[i] for i in numbers])
+                leak = scores >= asked.asked[numbers]
+                found = [
+                    (i, asked.items[numbers[n]], scores[n] / (2.0 * len(asked.words[numbers[n]]))) for i, n in pairs if leak[n]
+                ]
+                yield pd.DataFrame(found, columns=["id", "item", "score"])
 
     return run
 
@@ -134,28 +200,20 @@ def align_scores(passages: list[np.ndarray], items: list[np.ndarray]) -> np.ndar
     return best
 
 
-def _aligned(config: DecontaminationConfig):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            words = [np.asarray(w) for w in batch["words"]]
-            items = [np.asarray(w) for w in batch["item_words"]]
-            # pairs of like size together, so little is padded
-            order = np.argsort([len(w) for w in words], kind="stable")
-            scores = np.zeros(len(words))
-            begin = 0
-            while begin < len(order):
-                end = begin + 1
-                while end < len(order) and (end - begin + 1) * len(words[order[end]]) <= 400_000:
-                    end += 1
-                group = order[begin:end]
-                found = align_scores([words[i] for i in group], [items[i] for i in group])
-                scores[group] = found / (2.0 * np.array([len(items[i]) for i in group]))
-                begin = end
-            out = batch[["id", "item"]].assign(score=scores)
-            lengths = np.array([len(i) for i in items])
-            yield out[(scores >= config.min_score) & (scores * lengths >= np.minimum(config.min_words, lengths))]
-
-    return run
+def _part_scores(parts: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
+    """Alignment scores of pairs of any sizes."""
+    # pairs of like size together, so little is padded
+    order = np.argsort([len(p) for p in parts], kind="stable")
+    scores = np.zeros(len(parts))
+    begin = 0
+    while begin < len(order):
+        end = begin + 1
+        while end < len(order) and (end - begin + 1) * len(parts[order[end]]) <= 400_000:
+            end += 1
+        group = order[begin:end]
+        scores[group] = align_scores([parts[i] for i in group], [items[i] for i in group])
+        begin = end
+    return scores
 
 
 def leaks(
@@ -171,38 +229,18 @@ def leaks(
     docs = docs.select(F.col("id").cast("long").alias("id"), "text")
     items = clean_columns(items, item=item_col, text=item_text).where("item is not null and text is not null")
     items = items.select(F.col("item").cast("long").alias("item"), "text")
-    tested = stored(
-        items.mapInPandas(_item_words(config), "item long, words array<long>, grams array<long>"), "items"
-    )
+    tested = stored(items.mapInPandas(_item_words, "item long, words array<long>"), "items")
     n_items = tested.count()
     blocks = max(1, -(-n_items // config.block))
     found = None
     for block in range(blocks):
         own = tested if blocks == 1 else tested.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        # a block's n-grams are bounded by its number of items and their lengths
-        grams = own.select(F.explode("grams").alias("g")).distinct().toPandas()["g"].to_numpy(np.int64).view(np.uint64)
-        if not len(grams):
+        # a block is bounded by its number of items and their lengths
+        rows = own.toPandas()
+        if not len(rows):
             continue
-        longest = int(own.agg(F.max(F.size("words"))).first()[0])
-        schema = "id long, at long, words array<long>, grams array<long>"
-        met = stored(docs.mapInPandas(_passages(np.sort(grams), longest, config), schema), "passages")
-        frequency = met.select("id", F.explode("grams").alias("g")).distinct().groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-        postings = own.select("item", F.explode("grams").alias("g")).join(frequency, "g")
-        usual = postings.groupBy("item").agg(F.percentile_approx("df", 0.5).alias("usual"))
-        rare = postings.join(usual, "item").where(
-            F.col("df") <= F.greatest(F.lit(config.rare_docs), config.rare_factor * F.col("usual"))
-        )
-        seeds = stored(rare.select("item", "g"), "seeds")
-        met = met.withColumn("passage", F.struct("id", "at"))
-        # a block's seeds are bounded as its n-grams are, so they are broadcast and no hot n-gram gathers
-        pairs = met.select("passage", F.explode("grams").alias("g")).join(F.broadcast(seeds), "g")
-        pairs = pairs.select("passage", "item").distinct()
-        aligned = pairs.join(met.select("passage", "id", "words"), "passage").join(
-            F.broadcast(own.select("item", F.col("words").alias("item_words"))), "item"
-        )
-        scored = aligned.select("id", "item", "words", "item_words").mapInPandas(
-            _aligned(config), "id long, item long, score double"
-        )
+        sent = docs.sparkSession.sparkContext.broadcast(_Block(rows, config))
+        scored = docs.mapInPandas(_leaks(sent, config), "id long, item long, score double")
         found = scored if found is None else found.unionByName(scored)
     if found is None:
         found = docs.select("id", F.lit(0).cast("long").alias("item"), F.lit(0.0).alias("score")).limit(0)

@@ -386,6 +386,16 @@ def test_leaks(spark, sf):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == got
 
 
+def test_leaks_of_common_seeds(spark):
+    """Edited copies count, however many documents share their n-grams."""
+    words = [f"w{i}" for i in range(40)]
+    edited_words = [f"x{i}" if i in (4, 9, 14, 19, 24, 29) else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(i, " ".join(edited_words)) for i in range(150)] + [(150, " ".join(words))], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: round(r.score, 3) for r in decontaminate.leaks(docs, asked).collect()}
+    assert got == {i: 0.775 for i in range(150)} | {150: 1.0}
+
+
 # --- pages -----------------------------------------------------------------
 
 PAGES = [
