@@ -4,7 +4,8 @@ Every element of the document tree gets a density: its characters per tag, scale
 The element whose children have the largest sum of densities holds the article; the least density on the way from it
 to the body is the threshold, and the article is the widest element on that way, below the body, that reaches it and
 adds no block of links. Elements that are no article whatever they hold (menus, headers and footers of the page,
-sidebars, notices, adverts, forms, comments, scripts) are left out of the tree.
+asides, forms, scripts) are left out of the tree, and those named as such (sidebars, notices, adverts, comments) if
+they hold a minor part of the text.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ LIMITS = {
     **{t: frozenset(("table",)) for t in ("tr", "td", "th", "tbody", "thead", "tfoot")},
 }
 SCOPES = frozenset(("table", "td", "th", "caption", "button", "object", "html", "body", "article", "section", "div", "main"))
-# no article whatever they hold
+# no article whatever they hold; names in MARKED only count for a minor part of the text
 DROPPED = frozenset("nav aside form footer button select input dialog menu object embed canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 MARKED = re.compile(
@@ -65,16 +66,16 @@ WHITE = re.compile("[ \t\n\f\r]+")
 class Node:
     """An element with its parts (texts and elements) and the counts the density needs."""
 
-    __slots__ = ("name", "parts", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parts", "parent", "dropped", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool = False) -> None:
-        self.name, self.parent, self.dropped = name, parent, dropped
+    def __init__(self, name: str, parent: Node | None, dropped: bool = False, marks: frozenset = frozenset()) -> None:
+        self.name, self.parent, self.dropped, self.marks = name, parent, dropped, marks
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _is_dropped(name: str, attributes: str, parent: Node) -> bool:
+def _is_dropped(name: str, found: dict[str, str], parent: Node) -> bool:
     if name in DROPPED:
         return True
     if name == "header":
@@ -83,16 +84,27 @@ def _is_dropped(name: str, attributes: str, parent: Node) -> bool:
         while node is not None and node.name not in ("article", "main"):
             node = node.parent
         return node is None
-    if not attributes or name in KEPT:
+    if not found or name in KEPT:
         return False
-    found = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
         return True
-    if found.get("role", "").lower() in ROLES:
-        return True
-    return any(MARKED.search(html.unescape(found.get(k, ""))) for k in ("class", "id"))
+    return found.get("role", "").lower() in ROLES
+
+
+def _marks(name: str, found: dict[str, str]) -> frozenset:
+    """The listed words in an element's class and id."""
+    if not found or name in KEPT:
+        return frozenset()
+    # words may share a sign between them, so each is looked for from the end of the one before
+    marks = set()
+    for key in ("class", "id"):
+        value, at = html.unescape(found.get(key, "")), 0
+        while match := MARKED.search(value, at):
+            marks.add(match[0].strip(" \t\n\f\r_-").lower())
+            at = max(match.end() - 1, match.start() + 1)
+    return frozenset(marks)
 
 
 def parse(source: str) -> Node:
@@ -123,7 +135,8 @@ def parse(source: str) -> Node:
             while (found := _open(node, ended, limit)) is not None:
                 node = found.parent or root
         attributes = tag[3] or ""
-        child = Node(name, node, _is_dropped(name, attributes, node))
+        found = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes)}
+        child = Node(name, node, _is_dropped(name, found, node), _marks(name, found))
         if name in RAW:
             # nothing in it is markup but its own end
             at = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(source, at).end()
@@ -155,11 +168,10 @@ def _nodes(root: Node) -> list[Node]:
     return found
 
 
-def score(body: Node) -> list[Node]:
-    """Densities and density sums of all elements of the body."""
-    nodes = _nodes(body)
+def _count(nodes: list[Node]) -> None:
+    """Characters, tags and links of elements, given parents first."""
     for node in reversed(nodes):
-        link = node.name == "a"
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for part in node.parts:
             if isinstance(part, str):
                 node.chars += len(WHITE.sub("", part))
@@ -168,8 +180,40 @@ def score(body: Node) -> list[Node]:
                 node.tags += part.tags + 1
                 node.link_chars += part.link_chars
                 node.link_tags += part.link_tags
-        if link:
+        if node.name == "a":
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
+
+
+def drop_marked(body: Node) -> None:
+    """Leave out the elements whose names say that they are no article, unless they hold most of the text.
+
+    Text is what links do not hold. An element with half of the body's text stays, and so do elements with a common
+    word in their names that hold half of it together, as the word then says nothing on that page.
+    """
+    nodes = _nodes(body)
+    if not any(n.marks for n in nodes):
+        return
+    _count(nodes)
+    half = (body.chars - body.link_chars) / 2
+    held: dict[str, int] = {}
+    minor, within = [], {}
+    for node in nodes:
+        over = within.get(id(node.parent), frozenset())
+        within[id(node)] = over
+        if node.marks and node is not body and node.chars - node.link_chars < half:
+            minor.append(node)
+            # what lies in an element of the same name is counted with it
+            for word in node.marks - over:
+                held[word] = held.get(word, 0) + node.chars - node.link_chars
+            within[id(node)] = over | node.marks
+    for node in minor:
+        node.dropped = any(held[word] < half for word in node.marks)
+
+
+def score(body: Node) -> list[Node]:
+    """Densities and density sums of all elements of the body."""
+    nodes = _nodes(body)
+    _count(nodes)
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:
         c, t = node.chars, max(node.tags, 1)
@@ -183,6 +227,23 @@ def score(body: Node) -> list[Node]:
     return nodes
 
 
+def _own_article(node: Node) -> Node | None:
+    """The only article or main below an element, if half of what lies in no element with a listed name is in it."""
+    found, plain, todo = [], 0, [node]
+    while todo:
+        at = todo.pop()
+        if at.name in ("article", "main") and at.chars:
+            found.append(at)
+            plain += at.chars
+            continue
+        for part in at.parts:
+            if isinstance(part, str):
+                plain += len(WHITE.sub("", part))
+            elif not part.dropped and not part.marks:
+                todo.append(part)
+    return found[0] if len(found) == 1 and 2 * found[0].chars >= plain else None
+
+
 def _links_only(node: Node) -> bool:
     """A block of several links and little else."""
     return node.link_tags > 1 and 2 * node.link_chars > node.chars
@@ -195,6 +256,7 @@ def main_node(root: Node) -> Node:
         if node.name == "body":
             body = node
             break
+    drop_marked(body)
     nodes = score(body)
     marked = [n for n in nodes if n.name in ("article", "main") and n.chars]
     best = max(nodes, key=lambda n: (n.total, n.density))
@@ -202,6 +264,8 @@ def main_node(root: Node) -> Node:
     while node is not body and node.parent is not None:
         way.append(node)
         node = node.parent
+    if best not in marked and not any(n in marked for n in way) and (own := _own_article(best)):
+        return own
     threshold = min([n.density for n in way] + [body.density])
     held = [n for n in way if n.density >= threshold]
     # what the page itself calls its article is the widest candidate

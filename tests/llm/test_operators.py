@@ -412,6 +412,21 @@ def test_page_text(source, want):
     assert html_text.page_text(source) == want
 
 
+@pytest.mark.parametrize("name", [
+    "elementor-widget elementor-widget-text-editor", "post-12 post category-social-policy", "layout-sidebar-right content",
+    "single-post sidebar-right", "recipe-notices-text",
+])
+def test_names_of_wrappers(name):
+    """A name takes away a minor part of a page only."""
+    blocks = [f"Paragraph {i} of the article, with some words in it." for i in range(6)]
+    body = "".join(f"<p>{b}</p>" for b in blocks)
+    extra = "<div class='sidebar widget'><p>Something else.</p></div>"
+    assert html_text.page_text(f"<body>{extra}<div class='{name}'>{body}</div></body>") == "\n".join(blocks)
+    # parts of the article in elements of one name
+    parts = "".join(f"<div class='{name}'><p>{b}</p></div>" for b in blocks)
+    assert html_text.page_text(f"<body><div>{parts}</div>{extra}</body>") == "\n".join(blocks)
+
+
 def test_pages(spark, sf):
     pages = table(spark, sf, "pages")
     got = {r.page_id: r for r in html_text.extract_text(pages).collect()}
