@@ -2,8 +2,9 @@
 
 Every element of the document tree gets a density: its characters per tag, scaled down by the part that links hold.
 The element whose children have the largest sum of densities holds the article; the least density on the way from it
-to the body is the threshold, and the article is the widest element on that way, below the body, that reaches it and
-adds no block of links. Elements that are no article whatever they hold (menus, headers and footers of the page,
+to the body is the threshold. What lies around that element stays if it reaches the threshold or lies in an element
+that does, and is no block of links. If the page itself names an article or main on the way, the innermost one is
+kept whole and only the widest one is searched for more. Elements that are no article whatever they hold (menus, headers and footers of the page,
 asides, forms, scripts) are left out of the tree, and those named as such (sidebars, notices, adverts, comments) if
 they hold a minor part of the text.
 """
@@ -59,6 +60,8 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+LINK_BLOCKS = frozenset("ul ol div section dl table".split())
 # fixed values: white space in HTML
 WHITE = re.compile("[ \t\n\f\r]+")
 
@@ -210,18 +213,23 @@ def drop_marked(body: Node) -> None:
         node.dropped = any(held[word] < half for word in node.marks)
 
 
+def _density(node: Node, share: float) -> float:
+    """Characters per tag, scaled down by the part in links; ``share`` is that part of the body."""
+    c, t = node.chars, max(node.tags, 1)
+    lc, lt = node.link_chars, max(node.link_tags, 1)
+    if not c:
+        return 0.0
+    base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+    return c / t * (math.log(c / max(lc, 1) * t / lt + 1) / base)
+
+
 def score(body: Node) -> list[Node]:
     """Densities and density sums of all elements of the body."""
     nodes = _nodes(body)
     _count(nodes)
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:
-        c, t = node.chars, max(node.tags, 1)
-        lc, lt = node.link_chars, max(node.link_tags, 1)
-        if c:
-            base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
-            scale = math.log(c / max(lc, 1) * t / lt + 1) / base
-            node.density = c / t * scale
+        node.density = _density(node, share)
     for node in nodes:
         node.total = sum(p.density for p in node.parts if isinstance(p, Node) and not p.dropped)
     return nodes
@@ -249,8 +257,67 @@ def _links_only(node: Node) -> bool:
     return node.link_tags > 1 and 2 * node.link_chars > node.chars
 
 
+def _reaches(parts: list, body_share: float, threshold: float) -> bool:
+    """Whether a run of texts and inline elements is dense enough."""
+    run = Node("#run", None)
+    run.parts = parts
+    _count([run])
+    return bool(run.chars) and not _links_only(run) and _density(run, body_share) >= threshold
+
+
+def _select(top: Node, core: Node, path: set[int], body_share: float, threshold: float) -> Node:
+    """A tree of ``core`` whole and of what is dense enough around it, below ``top``.
+
+    ``path`` holds the elements from ``top`` to the parent of ``core``. A block stays if it reaches the threshold or
+    lies in an element that does; blocks of links do not. Headings on the path stay too, as they are short by nature.
+    """
+    out = Node(top.name, None)
+    todo = [(top, out, False)]
+    blocky: set[int] = set()
+    for node in reversed(_nodes(top)):
+        if node.parent is not None and (node.name in BLOCKS or id(node) in blocky):
+            blocky.add(id(node.parent))
+    while todo:
+        node, copy, dense = todo.pop()
+        run: list = []
+
+        def close() -> None:
+            if run and (dense or _reaches(run, body_share, threshold)):
+                copy.parts += run
+            run.clear()
+
+        for part in node.parts:
+            if not isinstance(part, str) and part.dropped:
+                continue
+            if part is core:
+                close()
+                copy.parts.append(core)
+            elif isinstance(part, Node) and id(part) in path:
+                close()
+                child = Node(part.name, copy)
+                copy.parts.append(child)
+                todo.append((part, child, False))
+            elif isinstance(part, str) or part.name not in BLOCKS and id(part) not in blocky:
+                run.append(part)
+            else:
+                close()
+                if part.name in LINK_BLOCKS and _links_only(part):
+                    continue
+                child = Node(part.name, copy)
+                copy.parts.append(child)
+                heading = id(node) in path and part.name in HEADINGS and not _links_only(part)
+                todo.append((part, child, dense or heading or part.density >= threshold))
+        close()
+    return out
+
+
 def main_node(root: Node) -> Node:
-    """The element that holds the article."""
+    """The element that holds the article, or a tree of its dense parts.
+
+    The element with the largest sum of densities is whole in it. If the page calls an element around it article or
+    main, the innermost one is whole, and what lies in a wider one stays if it is dense enough; else that holds for
+    all of the body.
+    """
     body = root
     for node in _nodes(root):
         if node.name == "body":
@@ -258,21 +325,23 @@ def main_node(root: Node) -> Node:
             break
     drop_marked(body)
     nodes = score(body)
-    marked = [n for n in nodes if n.name in ("article", "main") and n.chars]
     best = max(nodes, key=lambda n: (n.total, n.density))
     way, node = [], best
     while node is not body and node.parent is not None:
         way.append(node)
         node = node.parent
-    if best not in marked and not any(n in marked for n in way) and (own := _own_article(best)):
+    marked = [n for n in way if n.name in ("article", "main") and n.chars]
+    if not marked and (own := _own_article(best)):
         return own
+    core, top = (marked[0], marked[-1]) if marked else (best, body)
+    if core is top:
+        return core
     threshold = min([n.density for n in way] + [body.density])
-    held = [n for n in way if n.density >= threshold]
-    # what the page itself calls its article is the widest candidate
-    for n in held:
-        if n in marked:
-            return n
-    return held[-1] if held and body.chars and held[-1].chars >= 0.5 * body.chars else body
+    path, node = {id(top)}, core.parent
+    while node is not None and node is not top:
+        path.add(id(node))
+        node = node.parent
+    return _select(top, core, path, body.link_chars / body.chars if body.chars else 0.0, threshold)
 
 
 def blocks_of(node: Node) -> list[str]:

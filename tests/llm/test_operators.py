@@ -427,6 +427,18 @@ def test_names_of_wrappers(name):
     assert html_text.page_text(f"<body><div>{parts}</div>{extra}</body>") == "\n".join(blocks)
 
 
+def test_threshold_selects():
+    """Blocks around the densest element stay by their density, those in a wider main too."""
+    long = [f"Paragraph {i} " + "with many words that make it dense " * 8 for i in range(4)]
+    long = [" ".join(t.split()) for t in long]
+    ps = "".join(f"<p>{t}</p>" for t in long)
+    small = "<div><span>Print</span> <span>Save</span> <span>Top</span></div>"
+    plain = f"<body><div><h1>Title</h1>{small}<div>{ps}</div><div><p>{long[0]}</p></div>{small}</div></body>"
+    assert html_text.page_text(plain) == "\n".join(["Title", *long, long[0]])
+    whole = f"<body>{small}<main><h1>Title</h1><p>{long[0]}</p><article>{ps}</article><section><p>{long[1]}</p></section>{small}</main></body>"
+    assert html_text.page_text(whole) == "\n".join(["Title", long[0], *long, long[1]])
+
+
 def test_pages(spark, sf):
     pages = table(spark, sf, "pages")
     got = {r.page_id: r for r in html_text.extract_text(pages).collect()}
