@@ -366,8 +366,6 @@ def blocks_of(node: Node) -> list[str]:
             continue
         elif part.name == "br":
             line.append(" ")
-        elif part is not node and part.name in ("ul", "ol", "div", "section", "dl", "table") and _links_only(part):
-            flush()
         else:
             block = part.name in BLOCKS
             if block:

@@ -439,6 +439,17 @@ def test_threshold_selects():
     assert html_text.page_text(whole) == "\n".join(["Title", long[0], *long, long[1]])
 
 
+def test_link_blocks_of_the_article():
+    """Lists of links belong to an article they lie in; around it they do not."""
+    links = "<ul>" + "".join(f"<li><a href=x>Source number {i}</a></li>" for i in range(3)) + "</ul>"
+    told = "\n".join(f"Source number {i}" for i in range(3))
+    text = "<p>A paragraph of the article, with a good number of words in it.</p>" * 3
+    want = "\n".join([text[3:-4].split("</p>")[0]] * 3)
+    assert html_text.page_text(f"<body>{links}<article>{text}{links}</article>{links}</body>") == f"{want}\n{told}"
+    assert html_text.page_text(f"<body><div><div>{text}{links}</div>{links}</div></body>") == f"{want}\n{told}"
+    assert html_text.page_text(f"<body><p>Intro.</p><div>{links}</div></body>") == f"Intro.\n{told}"
+
+
 def test_pages(spark, sf):
     pages = table(spark, sf, "pages")
     got = {r.page_id: r for r in html_text.extract_text(pages).collect()}
