@@ -30,11 +30,15 @@ class DecontaminationConfig:
     """Seeds are ``gram`` words long. A passage is a leak of an item if the alignment reaches ``min_score``.
 
     The score is the alignment's part of a full match of the item: equal words earn 2, other words and gaps cost 1.
+    It must also be worth ``min_words`` equal words, or the whole of a shorter item, as a few common words are no leak:
+    an item of 8 words or less must be there whole, one of 10 words by 0.8, one of 14 or more by ``min_score``.
+    Without two equal words in a row an alignment with n words earns n + 1 of 2n at most. So seeds of two words miss
+    nothing from a score of 0.6 on; longer seeds may.
     Items of under ``gram`` words match by their whole text.
     Items are taken in blocks of ``block``, so a task holds a bounded part of the benchmark.
     """
 
-    gram: int = 4
+    gram: int = 2
     min_score: float = 0.6
     min_words: int = 8
     block: int = 20_000
@@ -221,6 +225,7 @@ def leaks(
     item_text: str = "text", config: DecontaminationConfig = DecontaminationConfig(),
 ) -> DataFrame:
     """Pairs (id, item) of documents that hold an item or an edited copy of it, with the best score.
+    ``min_score`` and ``min_words`` say what counts, see the configuration.
 
     Null and empty texts on either side match nothing; rows with a null id are not searched. Items shorter than a
     seed match only by a document of just their words. Rows that repeat an id or an item are taken together.

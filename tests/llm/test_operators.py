@@ -386,6 +386,17 @@ def test_leaks(spark, sf):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == got
 
 
+def test_leaks_with_no_long_seed(spark):
+    """Copies of the score asked for are found though each fourth, or each third, word is another."""
+    words = [f"w{i}" for i in range(40)]
+    fourth = [f"x{i}" if i % 4 == 3 else w for i, w in enumerate(words)]
+    spread = " ".join(f"{w} x{i}" if i % 2 else w for i, w in enumerate(words))
+    docs = spark.createDataFrame([(1, " ".join(fourth)), (2, "so it is " + spread), (3, " ".join(words[:20]))], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.leaks(docs, asked).collect()}
+    assert got == {1: (30 * 2 - 9) / 80, 2: (40 * 2 - 19) / 80}
+
+
 def test_leaks_of_common_seeds(spark):
     """Edited copies count, however many documents share their n-grams."""
     words = [f"w{i}" for i in range(40)]
