@@ -122,13 +122,17 @@ def quality_rules(
     repeated results; an empty table gives an empty one.
     """
     docs = clean_columns(docs, id=id_col, text=text_col, lang=lang_col)
-    docs = docs.withColumn("lang", F.coalesce("lang", F.lit(""))).withColumn("h", F.xxhash64("text"))
+    docs = docs.withColumn("lang", F.coalesce("lang", F.lit("")))
+    # null ids do not meet in a join: they take a value of their own, and the hash says that it is none
+    unset = F.lit("0").try_cast(docs.schema["id"].dataType)
+    docs = docs.withColumn("unset", F.col("id").isNull()).withColumn("h", F.xxhash64("text", "unset"))
+    docs = docs.withColumn("id", F.coalesce("id", unset))
     key = ["lang", "id", "h"]
 
-    counted = docs.select(*key, text_counts(F.col("text")).alias("c"))
+    counted = docs.select(*key, "unset", text_counts(F.col("text")).alias("c"))
     counts = stored(
         counted.select(
-            *key, "c.w.*", "c.n_dup_lines", "c.n_chars", "c.symbol", "c.upper", "c.digit", "c.punct",
+            *key, "unset", "c.w.*", "c.n_dup_lines", "c.n_chars", "c.symbol", "c.upper", "c.digit", "c.punct",
             (F.col("c.n_chars") - F.col("c.w.word_chars")).alias("space"),
         ).withColumn("letter", F.col("word_chars") - F.col("symbol") - F.col("upper") - F.col("digit") - F.col("punct")),
         "rule-counts",
@@ -190,7 +194,7 @@ def quality_rules(
         F.coalesce("words_distance", F.lit(0.0)) <= config.max_words * slack
     )
     return rows.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", F.col("symbol").alias("n_symbols"), "n_dup_lines",
+        F.when(~F.col("unset"), F.col("id")).alias(id_col), "n_words", "word_chars", F.col("symbol").alias("n_symbols"), "n_dup_lines",
         "n_repeat_words", failed.alias("base_failed"), "class_distance", "words_distance",
         (~failed & passes).alias("kept"),
     )

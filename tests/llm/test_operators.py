@@ -91,6 +91,18 @@ def test_divergence_finds_junk(spark):
     assert out[0].class_distance is not None and 0 <= out[0].words_distance <= 1
 
 
+def test_null_ids_are_judged(spark):
+    text = "The of and to in a town the man of the sea went on and the ship came to it in a day or so while they sang. " * 2
+    rows = [(i, " ".join(random.Random(i).sample(text.split(), 40)), "en") for i in range(60)]
+    junk = " ".join(f"QX{i}" for i in range(60))
+    rows += [(None, junk, "en"), (0, junk, "en"), (None, rows[5][1], "en")]
+    out = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    lost = sorted((r for r in out if r.doc_id is None), key=lambda r: r.kept)
+    assert len(out) == len(rows) and [r.kept for r in lost] == [False, True]
+    assert all(r.words_distance is not None for r in out)
+    assert lost[0].words_distance == pytest.approx(max(r.words_distance for r in out if r.doc_id == 0))
+
+
 def test_js_term(spark):
     p, q = (0.5, 0.25, 0.25), (0.1, 0.2, 0.7)
     row = spark.range(1).select(sum((quality_rules.js_term(F.lit(a), F.lit(b)) for a, b in zip(p, q)), F.lit(0.0))).first()[0]
