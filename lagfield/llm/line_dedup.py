@@ -25,11 +25,11 @@ from lagfield.session import stored
 class LineConfig:
     """``threshold`` edits link two lines of ``min_chars`` characters or more; shorter ones only match exactly.
 
-    The shortest allowed ``min_chars`` is three times threshold + 1. A segment with over ``hot`` index lines is hot.
+    The shortest allowed ``min_chars`` is three times threshold + 1, the default. A segment with over ``hot`` index lines is hot.
     """
 
     threshold: int = 2
-    min_chars: int = 30
+    min_chars: int = 9
     hot: int = 4
 
 
@@ -248,11 +248,12 @@ def line_report(
 
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None, min_words: int = 5,
-    config: LineConfig = LineConfig(),
+    config: LineConfig = LineConfig(min_chars=30), min_size: int = 30,
 ) -> DataFrame:
     """The documents without lines that an earlier place of the table has, up to the threshold.
 
-    Lines of under ``min_words`` words stay, as they carry no passage. The first place is the smallest (id, line).
+    Lines of under ``min_words`` words and ``min_size`` characters stay, as they carry no passage; short lines that
+    are not equal, but near another, stay as well (``config``). The first place is the smallest (id, line).
     Other columns are unchanged, but that ``size_col``, if given, follows a text that changes. A document left without a word, though it had some, goes; null, empty and blank
     texts stay as they are. Rows that repeat an id share places; each loses what an earlier place has.
     """
@@ -261,7 +262,8 @@ def line_dedup(
     named = line_classes(given.select("id", "text"), config)
     # Only lines seen twice, or near another, can go.
     doubtful = named.where((F.col("copies") > 1) | (F.col("n_links") > 0))
-    doubtful = doubtful.where(F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")) >= min_words)
+    n_words = F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    doubtful = doubtful.where((n_words >= min_words) | (F.length("line") >= min_size))
     # two 64-bit hashes stand for the text of a line in this join
     name = lambda: [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("line"), "line").alias("h2")]
     doubtful = doubtful.select(*name(), "class_first")

@@ -177,6 +177,15 @@ def test_line_dedup(spark):
     assert {(r.line, r.copies, r.class_doc) for r in report if line in r.line} == {(line, 2, 1), (line + "!", 1, 1)}
 
 
+def test_short_lines_and_lines_without_spaces(spark):
+    whole = "これは空白のない長い行であり、同じ行が二つの文書に現れるので、後の方が消える。"
+    docs = spark.createDataFrame([(1, f"{whole}\nten chars\nfirst"), (2, f"{whole}\nten chart\nsecond")], "doc_id long, text string")
+    links = {r.line: r.n_links for r in line_dedup.line_report(docs).collect()}
+    assert links["ten chars"] == links["ten chart"] == 1
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
+    assert got == {1: f"{whole}\nten chars\nfirst", 2: "ten chart\nsecond"}
+
+
 # --- near copies -----------------------------------------------------------
 
 
