@@ -12,6 +12,8 @@ from lagfield.llm.decontaminate import leak_report
 from lagfield.llm.html_text import extract_text
 from lagfield.llm.line_dedup import line_report
 from lagfield.llm.minhash import near_duplicates
+from lagfield.llm.mixing import graded, measured, mix
+from lagfield.llm.periodic import periodic_runs, with_tail_repeats
 from lagfield.llm.pieces import encode, read_model
 from lagfield.llm.quality_rules import quality_rules
 from lagfield.llm.secrets import secret_report
@@ -106,11 +108,38 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(table(spark, d, "pages"))
 
 
+def op12_mix(spark: SparkSession, d: str) -> DataFrame:
+    """How many words of every document a mix of the sources takes; labels of quality weigh the sampling."""
+    rows = graded(measured(table(spark, d, "documents")), table(spark, d, "labels"))
+    return mix(rows)
+
+
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's runs of repeated words: their number, the one repeated most, and hashes of all."""
+    runs = periodic_runs(with_tail_repeats(table(spark, d, "documents")))
+    # lengths over periods are compared as products; runs come by start, then period, so the first of equals stays
+    most = F.expr(
+        "reduce(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (best, r) -> "
+        "if(best is null or r.length * best.period > best.length * r.period, r, best))"
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return runs.withColumn("most", most).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "most.start",
+        "most.length",
+        "most.period",
+        F.expr("most.length * 1000 div most.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_line_dedup, op3_cotraining, op4_url_lists, op5_minhash, op6_secrets, op7_pieces,
-        op8_sharding, op9_decontamination, op10_html_text,
+        op8_sharding, op9_decontamination, op10_html_text, op12_mix, op13_periodic_runs,
     )
 }
 
