@@ -16,6 +16,7 @@ from lagfield.llm.mixing import graded, measured, mix
 from lagfield.llm.periodic import periodic_runs, with_tail_repeats
 from lagfield.llm.pieces import encode, read_model
 from lagfield.llm.quality_rules import quality_rules
+from lagfield.llm.repair import damaged, repair_report
 from lagfield.llm.secrets import secret_report
 from lagfield.llm.sharding import place
 from lagfield.llm.url_lists import judge_captures, url_keys
@@ -108,6 +109,12 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(table(spark, d, "pages"))
 
 
+def op11_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation's faults after damage, and its cheapest repair."""
+    talks = table(spark, d, "conversations")
+    return repair_report(damaged(talks), ids=talks)
+
+
 def op12_mix(spark: SparkSession, d: str) -> DataFrame:
     """How many words of every document a mix of the sources takes; labels of quality weigh the sampling."""
     rows = graded(measured(table(spark, d, "documents")), table(spark, d, "labels"))
@@ -139,7 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_line_dedup, op3_cotraining, op4_url_lists, op5_minhash, op6_secrets, op7_pieces,
-        op8_sharding, op9_decontamination, op10_html_text, op12_mix, op13_periodic_runs,
+        op8_sharding, op9_decontamination, op10_html_text, op11_repair, op12_mix, op13_periodic_runs,
     )
 }
 
