@@ -118,7 +118,7 @@ def op11_repair(spark: SparkSession, d: str) -> DataFrame:
 def op12_mix(spark: SparkSession, d: str) -> DataFrame:
     """How many words of every document a mix of the sources takes; labels of quality weigh the sampling."""
     rows = graded(measured(table(spark, d, "documents")), table(spark, d, "labels"))
-    return mix(rows)
+    return mix(rows).drop("weight")
 
 
 def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
@@ -187,4 +187,43 @@ SELECT k.page_id, k.url, k.fetched_on, coalesce(m.n_entries, 0) AS n_entries, m.
 FROM keyed k LEFT JOIN met m USING (page_id)
 """
 
-SQL: dict[str, str] = {"op4_url_lists": _URL_LISTS}
+# Words, keys and weights as in ``measured``, ``graded`` and ``mix``; the full sources are the first of those in the
+# order of ceiling over weight, up to where the share of the others is within the next one's ceiling.
+_MIX = r"""
+WITH marks AS (
+  SELECT doc_id, avg(quality) AS mark FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), drawn AS (
+  SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    coalesce(1 + 3 * m.mark, 2.0) AS quality,
+    (CAST('0x' || substr(md5('0|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || coalesce(d.source, '') || '|'
+      || md5(coalesce(d.text, ''))), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM documents d LEFT JOIN marks m USING (doc_id)
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS weight
+  FROM drawn GROUP BY source
+), ranked AS (
+  SELECT *, 3.0 * source_size AS ceiling, row_number() OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST) AS k FROM sources
+), steps AS (
+  SELECT a.k, a.ceiling / a.weight AS bound,
+    ((SELECT sum(source_size) FROM ranked) - coalesce((SELECT sum(ceiling) FROM ranked b WHERE b.k < a.k), 0.0))
+      / (SELECT sum(weight) FROM ranked b WHERE b.k >= a.k) AS share
+  FROM ranked a
+), found AS (
+  SELECT min(k) AS k, arg_min(share, k) AS share FROM steps WHERE share <= bound
+), targets AS (
+  SELECT r.source, source_size, CASE WHEN f.k IS NULL OR r.k < f.k THEN ceiling ELSE weight * f.share END AS target
+  FROM ranked r, found f
+), placed AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS epochs,
+    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(u) / quality, u
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size / 2 AS middle
+  FROM drawn d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), judged AS (
+  SELECT *, size > 0 AND middle <= target - epochs * source_size AND epochs < 3 AS picked FROM placed
+)
+SELECT doc_id, source, size, source_size, target, epochs, picked, size * (epochs + CAST(picked AS BIGINT)) AS taken FROM judged
+"""
+
+SQL: dict[str, str] = {"op4_url_lists": _URL_LISTS, "op12_mix": _MIX}
