@@ -5,19 +5,22 @@ segments; by the pigeonhole principle one of them is left whole by the edits, so
 place and for a line length that the edits allow. Segments are the index, the allowed substrings the probes, and a
 banded bit-parallel edit distance confirms each meeting.
 
-Lines that meet in a hot segment (a common opening, say) go another, exact way: by their rarest grams of three
-characters. An edit changes at most three of them, so of the 3 * threshold + 1 rarest of either line one is common.
+Lines that meet in a hot segment (a common opening, say) are cut finer: of ``FINE`` segments the edits spoil at most
+``threshold``, so close lines agree in all the others, and what two lines must share to meet is most of their text.
+Where many meet even so, they are copies of one another: each is compared with one representative of the meeting, and
+then only lines of different classes are. So a group of near copies costs its size, not the square of it, and no two
+lines that are close end up in different classes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagfield.llm.common import clean_columns, components, let
-from lagfield.operators.relational import attach
 from lagfield.session import stored
 
 
@@ -25,7 +28,7 @@ from lagfield.session import stored
 class LineConfig:
     """``threshold`` edits link two lines of ``min_chars`` characters or more; shorter ones only match exactly.
 
-    The shortest allowed ``min_chars`` is three times threshold + 1, the default. A segment with over ``hot`` index lines is hot.
+    A segment with over ``hot`` index lines is hot.
     """
 
     threshold: int = 2
@@ -33,8 +36,8 @@ class LineConfig:
     hot: int = 4
 
 
-# Characters of a gram, and segments of the cheap condition before the edit distance.
-GRAM, PARTS = 3, 9
+# Segments of lines that meet in a hot one; segments and piece size of the cheap conditions before the edit distance.
+FINE, PARTS, PIECE = 8, 9, 6
 
 
 def _segment(length: Column, parts: int, i: int) -> tuple[Column, Column]:
@@ -132,7 +135,7 @@ def _mostly_whole(a: Column, length: Column, b: Column, parts: int, threshold: i
 
 def _pieces_whole(a: Column, length: Column, b: Column, threshold: int) -> Column:
     """The same for pieces of a few characters, of which each edit spoils one at most."""
-    size = 2 * GRAM
+    size = PIECE
     starts = F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1)), F.lit(size))
 
     def spoiled(at: Column) -> Column:
@@ -150,11 +153,65 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return stored(one.withColumn("line_id", F.monotonically_increasing_id()), "lines")
 
 
-def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
-    """Pairs ``(a, b)`` of different lines within the threshold, each pair once."""
+def _fine_start(length: Column, i: Column) -> Column:
+    """Start (from 0) of segment ``i`` of ``FINE``, as in ``_segment``."""
+    return (F.floor(length / FINE) * i + F.greatest(length % FINE - (FINE - i), F.lit(0))).cast("int")
+
+
+def _fine_keys(lines: DataFrame, threshold: int, probing: bool) -> DataFrame:
+    """``k, line_id, rest``: keys of all but ``threshold`` fine segments of a line, or, if ``probing``, of those of a line
+    that many edits may turn into it, which is as long or shorter.
+
+    A way to spoil segments i < j < ... with bounded edits fixes by how many characters each stretch between them is
+    moved: none before the first, the whole gap behind the last, and one more edit for each character in between.
+    ``rest`` is what lies in the spoiled segments.
+    """
+    ways = []
+    for spoiled in combinations(range(FINE), threshold):
+        for gap in range(threshold + 1 if probing else 1):
+            for moves in product(range(-threshold, threshold + 1), repeat=threshold - 1) if probing else [(0,) * (threshold - 1)]:
+                shifts = (0, *moves, gap)
+                if sum(abs(b - a) for a, b in zip(shifts, shifts[1:])) <= threshold:
+                    ways.append(F.struct(F.lit(gap).alias("gap"), F.array(*map(F.lit, spoiled)).alias("at"), F.array(*map(F.lit, shifts)).alias("by")))
+    rows = lines.select("line_id", "line", "n", F.explode(F.array(*ways)).alias("way"))
+    short, line = F.col("n") - F.col("way.gap"), F.col("line")
+    stretches, spoiled_text, fits = [], [], F.lit(True)
+    before = F.lit(0)
+    for x in range(threshold + 1):
+        by = F.get("way.by", x)
+        begin = before + by
+        end = (_fine_start(short, F.get("way.at", x)) if x < threshold else short) + by
+        # the stretch before must have ended, or two stretches would claim the same characters
+        fits = fits & (end >= begin) & (end <= F.col("n")) & (begin >= (done if x else F.lit(0)))
+        stretches.append(F.substring(line, begin + 1, end - begin))
+        if x:
+            spoiled_text.append(F.substring(line, done + 1, begin - done))
+        done = end
+        before = _fine_start(short, F.get("way.at", x) + 1) if x < threshold else before
+    key = F.xxhash64(short, "way.at", *stretches)
+    return rows.where(fits).select(key.alias("k"), "line_id", F.concat_ws("\n", *spoiled_text).alias("rest"))
+
+
+def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``(a, b)`` of line numbers, each once, that are within the threshold."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    text = F.struct("n", "line")
+    left = pairs.join(lines.select(F.col("line_id").alias("a"), text.alias("x")), "a")
+    both = left.join(lines.select(F.col("line_id").alias("b"), text.alias("y")), "b")
+    both = both.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    both = both.select("a", "b", F.col("x.n").alias("n"), F.col("x.line").alias("x"), F.col("y.line").alias("y"))
+    rough = _mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, threshold)
+    exact = F.when(rough, _pieces_whole(F.col("x"), F.col("n"), F.col("y"), threshold))
+    near = stored(both.where(exact), "line-near")
+    edits = edit_distance_within(F.col("x"), F.col("y"), threshold)
+    return stored(near.where(edits <= threshold).select("a", "b"), "line-links")
+
+
+def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
+    """``(id, component)`` for the lines that have another one within the threshold: the connected groups of these."""
     t = config.threshold
     # the length of a line is counted once, not for each of its segments
-    joined = lines.where(F.length("line") >= max(config.min_chars, GRAM * (t + 1)))
+    joined = lines.where(F.length("line") >= max(config.min_chars, t + 1))
     joined = joined.select("line_id", "line", F.length("line").alias("n"))
     line, length = F.col("line"), F.col("n")
     entries = joined.select(F.explode(F.array(*_index(line, length, t + 1))).alias("k"), F.col("line_id").alias("a"))
@@ -176,73 +233,76 @@ def line_links(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
     met = members.where(warm).select("k", "a").join(hits.where(warm).select("k", "b"), "k")
     met = met.where(F.col("a") != F.col("b")).select("a", "b")
 
-    in_hot = stored(
+    in_hot = (
         members.where(hot).select(F.col("a").alias("line_id"))
-        .unionByName(hits.where(hot).select(F.col("b").alias("line_id"))).distinct(),
-        "line-hot",
+        .unionByName(hits.where(hot).select(F.col("b").alias("line_id"))).distinct()
     )
-    grams = joined.join(in_hot, "line_id").select(
-        "line_id", "n", F.explode(F.sequence(F.lit(1), F.col("n") - (GRAM - 1))).alias("p"), "line"
-    ).select("line_id", "n", "p", F.xxhash64(F.substring("line", F.col("p"), GRAM)).alias("g"))
-    grams = attach(grams, stored(grams.groupBy("g").count(), "line-grams"), ["g"], ["line_id", "p"])
-    rarest = Window.partitionBy("line_id").orderBy("count", "g", "p")
-    rare = grams.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= GRAM * t + 1)
-    rare = stored(rare.select("line_id", "n", "p", "g"), "line-rare")
-    one, two = rare.alias("one"), rare.alias("two")
-    met_fine = one.join(
-        two,
-        (F.col("one.g") == F.col("two.g")) & (F.col("one.line_id") < F.col("two.line_id"))
-        & (F.abs(F.col("one.p") - F.col("two.p")) <= t) & (F.abs(F.col("one.n") - F.col("two.n")) <= t),
-    ).select(F.col("one.line_id").alias("a"), F.col("two.line_id").alias("b"))
-
-    pairs = alone.unionByName(met).unionByName(met_fine)
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    text = F.struct("n", "line")
-    left = pairs.join(joined.select(F.col("line_id").alias("a"), text.alias("x")), "a")
-    both = left.join(joined.select(F.col("line_id").alias("b"), text.alias("y")), "b")
-    shorter = F.least("x", "y")
-    both = both.select("a", "b", shorter.alias("x"), F.greatest("x", "y").alias("y"))
-    both = both.select("a", "b", F.col("x.n").alias("n"), F.col("x.line").alias("x"), F.col("y.line").alias("y"))
-    rough = _mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, t)
-    exact = F.when(rough, _pieces_whole(F.col("x"), F.col("n"), F.col("y"), t))
-    near = stored(both.where(exact), "line-near")
-    edits = edit_distance_within(F.col("x"), F.col("y"), t)
-    return stored(near.where(edits <= t).select("a", "b"), "line-links")
+    fine = stored(joined.join(in_hot, "line_id"), "line-fine")
+    held = _fine_keys(fine, t, probing=False).groupBy("k").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("held"))
+    # a line that alone holds a key and probes it meets nobody
+    asks = _fine_keys(fine, t, probing=True).join(held, "k").where("held > 1 or first <> line_id")
+    asks = stored(asks.select("k", F.col("line_id").alias("b"), "rest", "first", "held"), "line-asks")
+    # each line that asks meets one line of the key; every line that holds the key asks for it too
+    star = asks.where(F.col("first") != F.col("b")).select(F.col("first").alias("a"), "b")
+    links = _close(alone.unionByName(met).unionByName(star), joined, t)
+    groups = components(links, "line-groups")
+
+    # what meets in a key held by several lines and is not of one group yet
+    group = groups.withColumnRenamed("component", "group")
+    open_keys = asks.where("held > 1").join(group.withColumnRenamed("id", "b"), "b", "left").select(
+        "k", "b", "rest", F.coalesce("group", "b").alias("group")
+    )
+    mixed = open_keys.groupBy("k").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    open_keys = stored(open_keys.join(mixed.select("k"), "k"), "line-open")
+    holders = _fine_keys(fine, t, probing=False).join(mixed.select("k"), "k")
+    holders = holders.join(group.withColumnRenamed("id", "line_id"), "line_id", "left").select(
+        F.col("k").alias("held_k"), F.col("line_id").alias("a"), F.col("rest").alias("own"), F.coalesce("group", "line_id").alias("of")
+    )
+    # lines of one key differ in ``rest`` only, a few characters, so most pairs are settled by these
+    like = F.levenshtein("own", "rest", t) >= 0
+    rest = holders.join(open_keys, (F.col("held_k") == F.col("k")) & (F.col("of") != F.col("group")) & like).select("a", "b")
+    more = _close(rest, joined, t)
+    if more.isEmpty():
+        return groups
+    return components(links.unionByName(more), "line-groups")
 
 
 def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
-    """Every different line with its class: ``line, copies, class_doc, class_line, n_links, is_first``.
+    """Every different line with its class: ``line, copies, first, class_first, class_lines``.
 
-    A class is a connected set of linked lines; it is named by its first place, the smallest (document, line).
+    A class is a connected set of lines within the threshold; it is named by its first place, the smallest
+    (document, line), and ``class_lines`` counts its different lines.
     """
     lines = distinct_lines(docs)
-    links = line_links(lines, config)
-    groups = components(links, "line-classes")
-    degree = links.select(F.explode(F.array("a", "b")).alias("line_id")).groupBy("line_id").count()
-    member = lines.join(groups.withColumnRenamed("id", "line_id"), "line_id", "left")
-    member = member.join(degree, "line_id", "left").select(
-        "line", "line_id", "copies", "first",
-        F.coalesce("component", "line_id").alias("class_id"), F.coalesce("count", F.lit(0)).cast("long").alias("n_links"),
+    groups = line_groups(lines, config)
+    member = lines.join(groups.withColumnRenamed("id", "line_id"), "line_id", "left").select(
+        "line", "copies", "first", F.col("component").alias("class_id")
+    )
+    place = member.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(
+        F.min("first").alias("class_first"), F.count(F.lit(1)).alias("class_lines")
     )
-    place = member.where(F.col("n_links") > 0).groupBy("class_id").agg(F.min("first").alias("class_first"))
     named = member.join(place, "class_id", "left")
-    return named.withColumn("class_first", F.coalesce("class_first", "first"))
+    return named.withColumns({
+        "class_first": F.coalesce("class_first", "first"), "class_lines": F.coalesce("class_lines", F.lit(1)),
+    })
 
 
 def line_report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: LineConfig = LineConfig()
 ) -> DataFrame:
-    """Pairs are not expanded: one row per different line, with its class and its number of links.
+    """One row per different line with its class; lines of different classes are never within the threshold.
 
     Columns: doc_id and line_no (first place), line, copies, class_doc, class_line (first place of its class),
-    n_links (different lines within the threshold). Empty lines, null and empty texts give no row; a null id sorts
-    first; repeated rows count as copies.
+    class_lines (different lines of its class). Empty lines, null and empty texts give no row, nor does an empty
+    table; a null id sorts first; repeated rows count as copies. Of equal lines, and of the lines of a class, the
+    smallest (document, line) is the first place, so ties do not depend on the order of the rows. Long lines are
+    compared whole.
     """
     docs = clean_columns(docs, id=id_col, text=text_col)
     named = line_classes(docs, config)
     return named.select(
         F.col("first.id").alias(id_col), F.col("first.line_no").alias("line_no"), "line", "copies",
-        F.col("class_first.id").alias("class_doc"), F.col("class_first.line_no").alias("class_line"), "n_links",
+        F.col("class_first.id").alias("class_doc"), F.col("class_first.line_no").alias("class_line"), "class_lines",
     )
 
 
@@ -261,7 +321,7 @@ def line_dedup(
     given = given.select("_row", F.col("_row")[id_col].alias("id"), F.col("_row")[text_col].alias("text"))
     named = line_classes(given.select("id", "text"), config)
     # Only lines seen twice, or near another, can go.
-    doubtful = named.where((F.col("copies") > 1) | (F.col("n_links") > 0))
+    doubtful = named.where((F.col("copies") > 1) | (F.col("class_lines") > 1))
     n_words = F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     doubtful = doubtful.where((n_words >= min_words) | (F.length("line") >= min_size))
     # two 64-bit hashes stand for the text of a line in this join

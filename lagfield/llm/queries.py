@@ -36,7 +36,7 @@ def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Every different line with its class and its number of links."""
+    """Every different line with its class and the number of lines in that."""
     report = line_report(table(spark, d, "documents"))
     return report.withColumn("line", F.sha2("line", 256)).withColumnRenamed("line", "line_sha256")
 

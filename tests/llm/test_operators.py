@@ -146,8 +146,26 @@ def test_banded_distance(spark, threshold):
         assert min(r.d, threshold + 1) == min(distance(r.a, r.b), threshold + 1), (r.a, r.b)
 
 
-@pytest.mark.parametrize("hot", [1, 64])
-def test_line_links(spark, hot):
+def groups_of(count, linked):
+    """The connected groups with more than one member, each as a sorted tuple."""
+    parent = list(range(count))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in linked:
+        parent[root(i)] = root(j)
+    found = defaultdict(list)
+    for i in range(count):
+        found[root(i)].append(i)
+    return sorted(tuple(g) for g in found.values() if len(g) > 1)
+
+
+@pytest.mark.parametrize(("hot", "threshold"), [(1, 2), (64, 2), (1, 1)])
+def test_line_groups(spark, hot, threshold):
     rng = random.Random(5)
     lines = set()
     for _ in range(25):
@@ -158,11 +176,29 @@ def test_line_links(spark, hot):
     lines = sorted(lines)
     want = {
         (i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))
-        if min(len(lines[i]), len(lines[j])) >= 10 and distance(lines[i], lines[j]) <= 2
+        if min(len(lines[i]), len(lines[j])) >= 10 and distance(lines[i], lines[j]) <= threshold
     }
     df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
-    got = line_dedup.line_links(df, line_dedup.LineConfig(min_chars=10, hot=hot))
-    assert {(r.a, r.b) for r in got.collect()} == want
+    config = line_dedup.LineConfig(threshold=threshold, min_chars=10, hot=hot)
+    got = defaultdict(list)
+    for r in line_dedup.line_groups(df, config).collect():
+        got[r.component].append(r.id)
+    assert sorted(tuple(sorted(g)) for g in got.values()) == groups_of(len(lines), want)
+
+
+def test_a_group_of_near_copies_costs_its_size(spark, monkeypatch):
+    """Lines that are all within the threshold: as many pairs are compared as there are lines, not their square."""
+    compared = []
+    close = line_dedup._close
+    monkeypatch.setattr(line_dedup, "_close", lambda pairs, *rest: compared.append(pairs.distinct().count()) or close(pairs, *rest))
+    base = "a line of text that very many documents have in common, but for the letters at its end "
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRS"
+    for size in (150, 600):
+        lines = [base + x + y for x in alphabet for y in alphabet][:size]
+        df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+        compared.clear()
+        assert {r.component for r in line_dedup.line_groups(df).collect()} == {0}
+        assert size - 1 <= sum(compared) <= 4 * size
 
 
 def test_line_dedup(spark):
@@ -180,8 +216,8 @@ def test_line_dedup(spark):
 def test_short_lines_and_lines_without_spaces(spark):
     whole = "これは空白のない長い行であり、同じ行が二つの文書に現れるので、後の方が消える。"
     docs = spark.createDataFrame([(1, f"{whole}\nten chars\nfirst"), (2, f"{whole}\nten chart\nsecond")], "doc_id long, text string")
-    links = {r.line: r.n_links for r in line_dedup.line_report(docs).collect()}
-    assert links["ten chars"] == links["ten chart"] == 1
+    links = {r.line: r.class_lines for r in line_dedup.line_report(docs).collect()}
+    assert links["ten chars"] == links["ten chart"] == 2
     got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
     assert got == {1: f"{whole}\nten chars\nfirst", 2: "ten chart\nsecond"}
 
