@@ -33,7 +33,7 @@ class LineConfig:
 
     threshold: int = 2
     min_chars: int = 9
-    hot: int = 4
+    hot: int = 16
 
 
 # Segments of lines that meet in a hot one; segments and piece size of the cheap conditions before the edit distance.
@@ -145,6 +145,30 @@ def _pieces_whole(a: Column, length: Column, b: Column, threshold: int) -> Colum
     return F.size(F.filter(starts, spoiled)) <= threshold
 
 
+def _trimmed(pair: Column) -> Column:
+    """Struct ``x, y`` of two lines without what they begin and end with in common, in steps of a part of the first.
+
+    That leaves their distance as it is, and the distance costs time for each character.
+    """
+    parts = 2 * FINE
+
+    def common(p: Column, left: bool) -> Column:
+        n, found = F.length(p["x"]), F.lit(0)
+        side = (lambda t, k: F.substring(t, F.lit(1), k)) if left else (lambda t, k: F.right(t, k))
+        for i in range(1, parts + 1):
+            size = F.floor(n * i / parts).cast("int")
+            found = F.when(side(p["x"], size) == side(p["y"], size), size).otherwise(found)
+        return found
+
+    def cut(p: Column, left: bool) -> Column:
+        rest = lambda t, k: F.substring(t, k + 1, F.length(t)) if left else F.substring(t, F.lit(1), F.length(t) - k)
+        return let(F.struct(p["x"].alias("x"), p["y"].alias("y"), common(p, left).alias("k")), lambda q: F.struct(
+            rest(q["x"], q["k"]).alias("x"), rest(q["y"], q["k"]).alias("y")
+        ))
+
+    return let(cut(pair, True), lambda p: cut(p, False))
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """Each different line once: its number, text, copies and first place (document, line)."""
     lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -203,8 +227,9 @@ def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     rough = _mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, threshold)
     exact = F.when(rough, _pieces_whole(F.col("x"), F.col("n"), F.col("y"), threshold))
     near = stored(both.where(exact), "line-near")
+    cut = near.select("a", "b", _trimmed(F.struct("x", "y")).alias("cut")).select("a", "b", "cut.x", "cut.y")
     edits = edit_distance_within(F.col("x"), F.col("y"), threshold)
-    return stored(near.where(edits <= threshold).select("a", "b"), "line-links")
+    return stored(cut.where(edits <= threshold).select("a", "b"), "line-links")
 
 
 def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
@@ -281,10 +306,9 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     place = member.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(
         F.min("first").alias("class_first"), F.count(F.lit(1)).alias("class_lines")
     )
-    named = member.join(place, "class_id", "left")
-    return named.withColumns({
-        "class_first": F.coalesce("class_first", "first"), "class_lines": F.coalesce("class_lines", F.lit(1)),
-    })
+    # lines without a class stay out of the join, where they would be one key
+    alone = member.where(F.col("class_id").isNull()).select("line", "copies", "first", F.col("first").alias("class_first"), F.lit(1).cast("long").alias("class_lines"))
+    return member.join(place, "class_id").select(*alone.columns).unionByName(alone)
 
 
 def line_report(
