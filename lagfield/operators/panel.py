@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagfield.functions import series as S
@@ -114,6 +114,35 @@ def life_grid(facts: DataFrame) -> DataFrame:
     return grid.select(*GRAIN, "plan_flag")
 
 
+def pair_life(facts: DataFrame, cut: int | None = None) -> DataFrame:
+    """Every customer and product with common months, and how many they have: the grid counted, not made.
+
+    A pair lives from the later of the product's first and the customer's first month to the product's last, or the
+    cut. ``observed_months`` counts the months of the facts in between, as the difference of two places in their
+    order, so the calendar is not expanded.
+    """
+    width = shuffle_width(facts)
+    buckets = max(1, width)
+    rows = facts if cut is None else facts.where(F.col("periodo") <= cut)
+    # one row per month of the calendar, so one task and a broadcast are enough
+    months = facts.select("periodo").distinct()
+    places = months.select("periodo", F.row_number().over(Window.orderBy("periodo")).alias("_place"))
+    place = lambda of, name: places.select(F.col("periodo").alias(of), F.col("_place").alias(name))
+    alive = product_life(facts).select("product_id", "born", "died")
+    if cut is not None:  # a life may end behind it
+        last = months.where(F.col("periodo") <= cut).select(F.max("periodo")).scalar()
+        alive = alive.withColumn("died", F.least("died", last))
+    alive = alive.where(F.col("born") <= F.col("died"))
+    alive = alive.join(F.broadcast(place("born", "_born")), "born").join(F.broadcast(place("died", "_died")), "died")
+    alive = alive.select("product_id", "_born", "_died").withColumn("_bucket", every_salt(buckets))
+    started = customer_start(rows).join(F.broadcast(place("started", "_started")), "started").select(
+        "customer_id", "_started", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).alias("_bucket")
+    )
+    pairs = alive.repartition(width, "_bucket").join(started.repartition(width, "_bucket"), "_bucket")
+    lived = F.col("_died") - F.greatest("_born", "_started") + 1
+    return pairs.where(lived > 0).select(*PAIR, lived.cast("long").alias("observed_months"))
+
+
 def zero_rows(facts: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     """Grid rows that have no fact, with zero measures."""
     missing = life_grid(facts).join(facts.select(*GRAIN).distinct(), list(GRAIN), "left_anti")

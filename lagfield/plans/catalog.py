@@ -23,6 +23,7 @@ from lagfield.operators import metrics as M
 from lagfield.operators import naive as N
 from lagfield.operators import panel as P
 from lagfield.operators import relational as R
+from lagfield.operators import relations as Y
 from lagfield.operators import shape as D
 from lagfield.operators import structure as G
 from lagfield.operators.learners import boosted_l1
@@ -664,16 +665,62 @@ def label_concat(spark, d):
     return E.labelled_series(sales(spark, d), traits, 3)
 
 
+# --- relations -------------------------------------------------------------
+
+
+def target_encoding(spark, d):
+    """Earlier targets of the row's customer and of its product, for every row of the panel."""
+    names = ["te_customer_id", "te_product_id"]
+    return tidy(Y.target_encoding(panel(spark, d)).select(*GRAIN, *names), fine=names)
+
+
+def target_encoding_leak(spark, d):
+    """Rows at the score anchor whose encoding changes if all later months are taken away: none."""
+    names = ["te_customer_id", "te_product_id"]
+    full = Y.target_encoding(panel(spark, d)).where(F.col("periodo") == SCORE)
+    cut = Y.target_encoding(panel(spark, d).where(F.col("periodo") <= SCORE)).where(F.col("periodo") == SCORE)
+    return M.changed_features(full, cut, GRAIN, names)
+
+
+def product_breadth(spark, d):
+    """Customers that bought a product in the last 3 and 12 months, and the change."""
+    return Y.breadth(sales(spark, d), "product_id", "customer_id")
+
+
+def customer_diversity(spark, d):
+    """Product groups that a customer bought in the last 3 and 12 months, and the change."""
+    return Y.breadth(sparse(spark, d), "customer_id", "product_id", prefix="diversity")
+
+
+def _levels(spark, d):
+    return kept(spark, d, "levels", lambda: Y.level_totals(sales(spark, d), V.products(spark, d)))
+
+
+def level_totals(spark, d):
+    """Monthly totals of the universe, each category, brand, product and customer, and the year before."""
+    return tidy(_levels(spark, d))
+
+
+def pair_level_shares(spark, d):
+    """The share of each customer and product in the totals of every level, and how these move."""
+    return tidy(Y.with_level_totals(sales(spark, d), _levels(spark, d), V.products(spark, d)), fine=[f"share_{c}" for c in (Y.UNIVERSE, *Y.LEVELS)])
+
+
+def plan_months(spark, d):
+    """Quarter, and months in the price plan so far, of every row of the panel."""
+    return Y.plan_months(panel(spark, d)).select(*GRAIN, "trimestre", "meses_en_plan")
+
+
 # --- segments --------------------------------------------------------------
 
 
 def regimes(spark, d):
-    return D.purchase_stats(sparse_panel(spark, d), SCORE)
+    return D.purchase_stats_of_facts(sparse(spark, d), SCORE)
 
 
 def segment_profile(spark, d):
     """Profile of the purchase regimes."""
-    return tidy(D.segment_profile(D.purchase_stats(sparse_panel(spark, d), SCORE), ("regime", "regime_name")))
+    return tidy(D.segment_profile(D.purchase_stats_of_facts(sparse(spark, d), SCORE), ("regime", "regime_name")))
 
 
 def shape_transform(spark, d):
@@ -692,7 +739,7 @@ def segments_one_hot(spark, d):
 
 
 def stratified_sample(spark, d):
-    stats = stored(D.purchase_stats(sparse_panel(spark, d), SCORE).where(F.col("regime") >= 1), "stats")
+    stats = stored(D.purchase_stats_of_facts(sparse(spark, d), SCORE).where(F.col("regime") >= 1), "stats")
     return D.stratified_sample(stats).select(*PAIR, "positive_months", "total_tn", "stratum")
 
 
@@ -871,6 +918,7 @@ QUERIES: dict[str, Query] = {
         monthly_total, yearly_total, trend_line, customer_share, distinct_customers, customer_cum_share_top20,
         customer_cum_share_bottom300, product_cum_share, history_completeness, pareto, skew_stats, histogram,
         series_filter, joint_series, attribute_lookup, label_concat,
+        target_encoding, target_encoding_leak, product_breadth, customer_diversity, level_totals, pair_level_shares, plan_months,
         regimes, segment_profile, shape_transform, segments_one_hot, stratified_sample, shape_medoids, shape_segments,
         shape_segment_profile, euclidean_segments, product_segments,
         ols_lags, ols_stock_search, gbt_l1, gbt_importance, tweedie_one_stage, hurdle_global, hurdle_cluster,

