@@ -26,6 +26,7 @@ from lagfield.operators import relational as R
 from lagfield.operators import relations as Y
 from lagfield.operators import shape as D
 from lagfield.operators import structure as G
+from lagfield.operators import walk_forward as K
 from lagfield.operators.learners import boosted_l1
 from lagfield.operators.linear import forecast_on_lags, stock_group_search
 from lagfield.operators.pair_features import PairConfig, attach_segments, scaled, to_products, unscaled
@@ -711,6 +712,26 @@ def plan_months(spark, d):
     return Y.plan_months(panel(spark, d)).select(*GRAIN, "trimestre", "meses_en_plan")
 
 
+# --- walk-forward ----------------------------------------------------------
+
+# Anchors of the pooled back-test; the target month of each is in the data.
+FOLDS = (SEASON, 200012, CONTROL)
+
+
+def walk_forward_naive(spark, d):
+    """Errors of the naive forecasts, pooled over three anchors."""
+    rows = K.naive_folds(observed(spark, d), FOLDS)
+    return tidy(K.pooled_errors(rows, ("last", "mean_12", "same_month")))
+
+
+def walk_forward_ols(spark, d):
+    """Errors of the linear forecast and of the naive ones for the same products and anchors."""
+    linear = K.linear_folds(history(spark, d), FOLDS)
+    naive = K.naive_folds(history(spark, d), FOLDS).drop("actual")
+    both = linear.join(naive, ["anchor", "product_id"])
+    return tidy(K.pooled_errors(both, ("ols", "last", "mean_12", "same_month")))
+
+
 # --- segments --------------------------------------------------------------
 
 
@@ -919,6 +940,7 @@ QUERIES: dict[str, Query] = {
         customer_cum_share_bottom300, product_cum_share, history_completeness, pareto, skew_stats, histogram,
         series_filter, joint_series, attribute_lookup, label_concat,
         target_encoding, target_encoding_leak, product_breadth, customer_diversity, level_totals, pair_level_shares, plan_months,
+        walk_forward_naive, walk_forward_ols,
         regimes, segment_profile, shape_transform, segments_one_hot, stratified_sample, shape_medoids, shape_segments,
         shape_segment_profile, euclidean_segments, product_segments,
         ols_lags, ols_stock_search, gbt_l1, gbt_importance, tweedie_one_stage, hurdle_global, hurdle_cluster,

@@ -867,3 +867,17 @@ SQL["plan_months"] = with_(
   CAST({over('sum(plan_flag)', PAIR_W)} AS BIGINT) AS meses_en_plan FROM panel""",
     "panel",
 )
+
+# --- walk-forward ----------------------------------------------------------
+
+SQL["walk_forward_naive"] = with_(
+    f"""SELECT model, count(DISTINCT a) AS folds, count(*) AS rows, {r('sum(abs(actual - forecast)) / sum(actual)', 'wape')} FROM (
+  SELECT a, product_id, actual, unnest([
+    {{'model': 'last', 'forecast': coalesce(last, 0)}}, {{'model': 'mean_12', 'forecast': coalesce(mean, 0)}},
+    {{'model': 'same_month', 'forecast': coalesce(year, mean, 0)}}], recursive := true)
+  FROM (SELECT a, product_id, max(tn) FILTER (k = 2) AS actual, max(tn) FILTER (k = 0) AS last, avg(tn) FILTER (k <= 0) AS mean,
+      max(tn) FILTER (k = -10) AS year
+    FROM (SELECT *, {idx('periodo')} - {idx('a')} AS k FROM obs, (SELECT unnest([{SEASON}, 200012, {CONTROL}]) AS a) f)
+    WHERE k BETWEEN -11 AND 2 GROUP BY 1, 2) WHERE actual IS NOT NULL) GROUP BY 1""",
+    "obs",
+)
