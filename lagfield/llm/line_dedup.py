@@ -37,7 +37,7 @@ class LineConfig:
 
 
 # Segments of lines that meet in a hot one; segments and piece size of the cheap conditions before the edit distance.
-FINE, PARTS, PIECE = 8, 9, 6
+FINE, PARTS, PIECE = 5, 9, 6
 
 
 def _segment(length: Column, parts: int, i: int) -> tuple[Column, Column]:
