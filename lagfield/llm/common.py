@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagfield.session import stored
+from lagfield.session import shared_dir, stored
 
 # fixed values: the white space between words
 SPACES = r"[\x20\x09-\x0D]+"
@@ -31,6 +32,21 @@ def clean_columns(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``stored``, but bucketed by ``key``: joins on it move the other side only.
+
+    For wide rows with a key that does not repeat. The table is entered in the session's catalog, its files lie with
+    those of ``stored``.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = f"{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/lagfield/{spark.sparkContext.applicationId}/{unique}"
+    entry = f"lagfield_{unique}".replace("-", "_")
+    df.repartition(parts, key).write.format("parquet").option("path", path).bucketBy(parts, key).saveAsTable(entry)
+    return spark.table(entry)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components: ``(id, component)`` for every id in ``edges(a, b)``.
 

@@ -20,7 +20,7 @@ from itertools import combinations, product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagfield.llm.common import clean_columns, components, let
+from lagfield.llm.common import clean_columns, components, let, stored_by
 from lagfield.session import stored
 
 
@@ -170,11 +170,14 @@ def _trimmed(pair: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """Each different line once: its number, text, copies and first place (document, line)."""
+    """Each different line once: its number, text, copies and first place (document, line).
+
+    The table is bucketed by the number, so that later joins leave the texts where they are.
+    """
     lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.where(F.col("line") != "")
     one = lines.groupBy("line").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "line_no")).alias("first"))
-    return stored(one.withColumn("line_id", F.monotonically_increasing_id()), "lines")
+    return stored_by(one.withColumn("line_id", F.monotonically_increasing_id()), "line_id", "lines")
 
 
 def _fine_start(length: Column, i: Column) -> Column:
@@ -220,6 +223,10 @@ def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     """The pairs ``(a, b)`` of line numbers, each once, that are within the threshold."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     text = F.struct("n", "line")
+    # only the texts of paired lines are moved; a line of many pairs may be a skewed key in the joins behind
+    pairs = stored(pairs, "line-pairs")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
+    lines = stored(lines.join(paired, "line_id"), "line-paired")
     left = pairs.join(lines.select(F.col("line_id").alias("a"), text.alias("x")), "a")
     both = left.join(lines.select(F.col("line_id").alias("b"), text.alias("y")), "b")
     both = both.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
@@ -300,15 +307,14 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     """
     lines = distinct_lines(docs)
     groups = line_groups(lines, config)
-    member = lines.join(groups.withColumnRenamed("id", "line_id"), "line_id", "left").select(
-        "line", "copies", "first", F.col("component").alias("class_id")
-    )
-    place = member.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(
-        F.min("first").alias("class_first"), F.count(F.lit(1)).alias("class_lines")
+    grouped = groups.withColumnRenamed("id", "line_id")
+    member = grouped.join(lines.select("line_id", "first"), "line_id")
+    place = member.groupBy("component").agg(F.min("first").alias("class_first"), F.count(F.lit(1)).alias("class_lines"))
+    named = grouped.join(place, "component").drop("component")
+    return lines.join(named, "line_id", "left").select(
+        "line", "copies", "first", F.coalesce("class_first", "first").alias("class_first"),
+        F.coalesce("class_lines", F.lit(1).cast("long")).alias("class_lines"),
     )
-    # lines without a class stay out of the join, where they would be one key
-    alone = member.where(F.col("class_id").isNull()).select("line", "copies", "first", F.col("first").alias("class_first"), F.lit(1).cast("long").alias("class_lines"))
-    return member.join(place, "class_id").select(*alone.columns).unionByName(alone)
 
 
 def line_report(
