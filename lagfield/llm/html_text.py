@@ -5,8 +5,8 @@ The element whose children have the largest sum of densities holds the article;
 to the body is the threshold. What lies around that element stays if it reaches the threshold or lies in an element
 that does, and is no block of links. If the page itself names an article or main on the way, the innermost one is
 kept whole and only the widest one is searched for more. Elements that are no article whatever they hold (menus, headers and footers of the page,
-asides, forms, scripts) are left out of the tree, and those named as such (sidebars, notices, adverts, comments) if
-they hold a minor part of the text.
+asides, forms, scripts, reader comments) are left out of the tree, and those named as such (sidebars, notices, adverts)
+if they hold a minor part of the text.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,7 +25,7 @@ from lagfield.llm.common import clean_columns
 
 # fixed values: element names of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg annotation annotation-xml".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary "
@@ -54,6 +55,15 @@ MARKED = re.compile(
     r"site-header|page-header|pagination|pager|skip-link)(?:$|[\s_-])",
     re.I,
 )
+# a list of reader comments, one of them, or what belongs to it: the whole of one class or id
+COMMENTS = re.compile(
+    r"(?:(?:post|reader|readers|user|article|page|blog|entry|the|all|wp|fb|facebook|disqus|div)[_-])?comments?"
+    r"(?:[_-](?:area|section|list|thread|threads|container|wrapper|wrap|box|block|body|content|item|form|respond|feed|stream|"
+    r"text|inner|template|\d+))*|commentlist|commentarea|respond|disqus(?:[_-]thread)?",
+    re.I,
+)
+# names that say little of an element with paragraphs
+WEAK = frozenset(("share", "sharing", "social"))
 KEPT = frozenset(("html", "body", "article", "main"))
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -69,10 +79,12 @@ WHITE = re.compile("[ \t\n\f\r]+")
 class Node:
     """An element with its parts (texts and elements) and the counts the density needs."""
 
-    __slots__ = ("name", "parts", "parent", "dropped", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parts", "parent", "dropped", "late", "comment", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool = False, marks: frozenset = frozenset()) -> None:
         self.name, self.parent, self.dropped, self.marks = name, parent, dropped, marks
+        # left out only for lack of text beside it; part of the reader comments by its name
+        self.late = self.comment = False
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -104,16 +116,37 @@ def _marks(name: str, found: dict[str, str]) -> frozenset:
     marks = set()
     for key in ("class", "id"):
         value, at = html.unescape(found.get(key, "")), 0
+        if name == "p" or name in HEADINGS or name not in BLOCKS:
+            # a paragraph or a part of one only goes by a whole name
+            marks |= {w.lower() for w in value.split() if (match := MARKED.search(w)) and len(match[0]) == len(w)}
+            continue
         while match := MARKED.search(value, at):
             marks.add(match[0].strip(" \t\n\f\r_-").lower())
             at = max(match.end() - 1, match.start() + 1)
     return frozenset(marks)
 
 
+def _is_comment(name: str, found: dict[str, str]) -> bool:
+    if not found or name in ("html", "body", "main"):
+        return False
+    names = html.unescape(f"{found.get('class', '')} {found.get('id', '')}").split()
+    return any(COMMENTS.fullmatch(w) for w in names) or found.get("itemprop", "").lower() == "comment"
+
+
 def parse(source: str) -> Node:
     """The tree of a page. Open elements are closed as HTML closes them; a cut-off tag is no text."""
     root = Node("#root", None)
     node, at = root, 0
+    # how many open elements have a name, so that looking for none costs nothing
+    opened: Counter = Counter()
+
+    def leave(node: Node, found: Node) -> Node:
+        while node is not found:
+            opened[node.name] -= 1
+            node = node.parent
+        opened[found.name] -= 1
+        return found.parent or root
+
     while True:
         tag = TAG.search(source, at)
         text = source[at : tag.start() if tag else len(source)]
@@ -126,20 +159,23 @@ def parse(source: str) -> Node:
         if not name:
             continue
         if tag[1]:
-            if name == "br" or name == "p" and not _open(node, "p", SCOPES):
+            if name == "br" or name == "p" and not (opened["p"] and _open(node, "p", SCOPES)):
                 node.parts.append(Node(name, node))
                 continue
-            found = _open(node, name, frozenset(("table",)) if name not in ("table", "body", "html") else frozenset())
+            limit = frozenset(("table",)) if name not in ("table", "body", "html") else frozenset()
+            found = _open(node, name, limit) if opened[name] else None
             if found is not None and found.parent is not None:
-                node = found.parent
+                node = leave(node, found)
             continue
         for ended in ENDS.get(name, ()):
             limit = LIMITS.get(name, SCOPES)
-            while (found := _open(node, ended, limit)) is not None:
-                node = found.parent or root
+            while opened[ended] and (found := _open(node, ended, limit)) is not None:
+                node = leave(node, found)
         attributes = tag[3] or ""
         found = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes)}
         child = Node(name, node, _is_dropped(name, found, node), _marks(name, found))
+        child.late = child.dropped and name in ("header", "button") and not _is_dropped("div", found, node)
+        child.comment = _is_comment(name, found)
         if name in RAW:
             # nothing in it is markup but its own end
             at = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(source, at).end()
@@ -147,6 +183,7 @@ def parse(source: str) -> Node:
         node.parts.append(child)
         if name not in VOID and not attributes.rstrip().endswith("/") or name in BLOCKS - VOID:
             node = child
+            opened[name] += 1
 
 
 def _open(node: Node, name: str, limit: frozenset) -> Node | None:
@@ -187,6 +224,29 @@ def _count(nodes: list[Node]) -> None:
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
 
 
+def settle(body: Node) -> None:
+    """What depends on the surroundings of an element, before any density.
+
+    A header beside paragraphs is the article's, and a button within a sentence is a word of it. Reader comments go
+    whatever they hold, but an element with the page's title or main element in it is not a list of comments.
+    """
+    for node in _nodes(body):
+        late = [p for p in node.parts if isinstance(p, Node) and p.late]
+        if not late:
+            continue
+        prose = any(isinstance(p, str) and p.strip() for p in node.parts)
+        paragraphs = node.name not in ("body", "html", "#root") and any(isinstance(p, Node) and p.name == "p" for p in node.parts)
+        for part in late:
+            part.dropped = not (paragraphs if part.name == "header" else prose and node.name == "p")
+    nodes = _nodes(body)
+    titled: set[int] = set()
+    for node in reversed(nodes):
+        if node.parent is not None and (node.name in ("h1", "main") or id(node) in titled):
+            titled.add(id(node.parent))
+    for node in nodes:
+        node.dropped = node.dropped or node.comment and id(node) not in titled and node is not body
+
+
 def drop_marked(body: Node) -> None:
     """Leave out the elements whose names say that they are no article, unless they hold most of the text.
 
@@ -203,7 +263,8 @@ def drop_marked(body: Node) -> None:
     for node in nodes:
         over = within.get(id(node.parent), frozenset())
         within[id(node)] = over
-        if node.marks and node is not body and node.chars - node.link_chars < half:
+        weak = node.marks <= WEAK and any(isinstance(p, Node) and p.name == "p" for p in node.parts)
+        if node.marks and not weak and node is not body and node.chars - node.link_chars < half:
             minor.append(node)
             # what lies in an element of the same name is counted with it
             for word in node.marks - over:
@@ -311,6 +372,18 @@ def _select(top: Node, core: Node, path: set[int], body_share: float, threshold:
     return out
 
 
+def _with_peers(core: Node, threshold: float) -> Node:
+    """An article with the other articles beside it that are dense enough."""
+    if core.name != "article" or core.parent is None:
+        return core
+    out = Node("#articles", None)
+    for part in core.parent.parts:
+        if isinstance(part, Node) and part.name == "article" and not part.dropped and not part.marks:
+            if part is core or part.density >= threshold and not _links_only(part):
+                out.parts.append(part)
+    return out
+
+
 def main_node(root: Node) -> Node:
     """The element that holds the article, or a tree of its dense parts.
 
@@ -323,6 +396,7 @@ def main_node(root: Node) -> Node:
         if node.name == "body":
             body = node
             break
+    settle(body)
     drop_marked(body)
     nodes = score(body)
     best = max(nodes, key=lambda n: (n.total, n.density))
@@ -334,9 +408,9 @@ def main_node(root: Node) -> Node:
     if not marked and (own := _own_article(best)):
         return own
     core, top = (marked[0], marked[-1]) if marked else (best, body)
-    if core is top:
-        return core
     threshold = min([n.density for n in way] + [body.density])
+    if core is top:
+        return _with_peers(core, threshold)
     path, node = {id(top)}, core.parent
     while node is not None and node is not top:
         path.add(id(node))
@@ -392,7 +466,9 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text (blocks joined by a line break; empty if none), n_chars (code points).
 
-    Null and empty pages have an empty text; null ids and urls are passed on; repeated rows give repeated rows.
+    Null and empty pages have an empty text; null ids and urls are passed on; repeated rows give repeated rows; an
+    empty table gives none. Long pages are read whole, in time that grows with their length. Of elements with the same
+    sum of densities the densest is taken, of these the first.
     """
     rows = clean_columns(pages, page_id=id_col, url=url_col, html=html_col)
     kind = rows.schema["page_id"].dataType.simpleString()

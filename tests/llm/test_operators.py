@@ -507,6 +507,47 @@ def test_threshold_selects():
     assert html_text.page_text(whole) == "\n".join(["Title", long[0], *long, long[1]])
 
 
+TOLD = [f"Paragraph {i} of it." for i in range(3)]
+STORY = "".join(f"<p>{t}</p>" for t in TOLD)
+
+
+def _comments(tag, name, one):
+    said = "A reader says at great length what the reader thinks of it all, again and again. " * 3
+    return f"<{tag} {name}>" + f"<{one}><p>{said}</p></{one.split()[0]}>" * 10 + f"</{tag}>"
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='post'>{s}</div>" + _comments("div", "id='comments'", "div"),
+    "<article>{s}</article>" + _comments("section", "class='comments-area'", "div"),
+    "<main>{s}" + _comments("div", "id='comments'", "div") + "</main>",
+    "<article>{s}" + _comments("section", "class='post-comments'", "div") + "</article>",
+    "<main><article>{s}</article>" + _comments("ol", "class='comment-list'", "article class='comment-body'") + "</main>",
+    "<main><article>{s}</article>" + _comments("div", "", "article id='div-comment-12'") + "</main>",
+])
+def test_reader_comments_go(page):
+    """Comments go however much they hold, wherever they lie."""
+    assert html_text.page_text("<body>" + page.format(s=STORY) + "</body>") == "\n".join(TOLD)
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='comment'><h1>Opinion</h1>{STORY}</div>", ["Opinion", *TOLD]),
+    (f"<div class='post has-comments comments-open'>{STORY}</div>", TOLD),
+    (f"<article>{STORY}</article><article>{STORY}</article><footer>f</footer>", TOLD * 2),
+    (f"<div class='post'><header><h1>Title</h1></header>{STORY}</div><footer>f</footer>", ["Title", *TOLD]),
+    (f"<header><h1>Site</h1></header><div class='post'>{STORY}</div>", TOLD),
+    (f"<article>{STORY}<p class='share-price'>It rose.</p><div class='social'><p>They met.</p></div></article>", [*TOLD, "It rose.", "They met."]),
+    (f"<article>{STORY}<p>Press <button>OK</button> to go on.</p><button>Like</button></article>", [*TOLD, "Press OK to go on."]),
+    (f"<article>{STORY}<p>So <math><mi>a</mi><mo>=</mo><mn>1</mn></math> here.</p></article>", [*TOLD, "So a=1 here."]),
+])
+def test_parts_of_the_article_stay(page, want):
+    assert html_text.page_text(f"<body>{page}</body>") == "\n".join(want)
+
+
+def test_long_page():
+    """Unclosed elements and ends of elements that are not open take no time that grows with the depth."""
+    assert html_text.page_text("<div class='x'><b>y</i>" * 20000).count("y") == 20000
+
+
 def test_link_blocks_of_the_article():
     """Lists of links belong to an article they lie in; around it they do not."""
     links = "<ul>" + "".join(f"<li><a href=x>Source number {i}</a></li>" for i in range(3)) + "</ul>"
