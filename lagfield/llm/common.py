@@ -43,7 +43,7 @@ def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
     unique = f"{name}-{uuid.uuid4().hex}"
     path = f"{shared_dir(spark).rstrip('/')}/lagfield/{spark.sparkContext.applicationId}/{unique}"
     entry = f"lagfield_{unique}".replace("-", "_")
-    df.repartition(parts, key).write.format("parquet").option("path", path).bucketBy(parts, key).saveAsTable(entry)
+    df.repartition(parts, key).write.format("parquet").options(path=path, compression="zstd").bucketBy(parts, key).saveAsTable(entry)
     return spark.table(entry)
 
 
