@@ -1,14 +1,18 @@
 """Quality classifier by co-training of two views.
 
 One classifier sees what a text says (hashed words and word shapes), the other what is known about it (source,
-language, size, layout). Over some rounds each labels the documents of a pool that it is sure of, for the other one
-to learn from. Both are then calibrated on labels kept aside, and their log-odds are added up to score all documents.
+language, size, layout). Over some rounds each looks at all documents without a label and labels those that it is
+sure of, for the other one to learn from. Both are then calibrated on labels kept aside, and their log-odds are added
+up to score all documents.
+
+The features of all documents are written once, as counts, and every round is a narrow pass over them: what a row is
+passed on as follows from the models so far, so nothing is joined or sorted, and nothing but models is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
+from math import log
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
@@ -22,16 +26,15 @@ from lagfield.session import stored
 
 @dataclass(frozen=True)
 class CoTrainingConfig:
-    """Fits see at most ``labelled`` labelled rows and a pool of ``pool`` others, the first by a hash of their ids.
+    """``labelled`` bounds the rows with a true label that are used, taken by a hash of their ids; nothing else is bounded.
 
-    A fifth of the labelled rows is kept aside for calibration. In each of ``rounds`` rounds a view passes on at most
-    ``passed`` pool rows of each class, those with a probability of ``sure`` or more.
+    A fifth of these is kept aside for calibration. In each of ``rounds`` rounds a view passes on every other row to
+    which it gives a probability of ``sure`` or more for a class. Rows once passed on stay. The rows passed on for a class
+    weigh together no more than the labelled ones of that class, so their number does not move the odds of the classes.
     """
 
     labelled: int = 8_000
-    pool: int = 8_000
     rounds: int = 3
-    passed: int = 500
     sure: float = 0.97
     word_bins: int = 1 << 13
     shape_bins: int = 1 << 8
@@ -68,9 +71,13 @@ def _layout(text: Column, n_chars: Column) -> list[Column]:
     ]
 
 
-def view_features(docs: DataFrame, config: CoTrainingConfig) -> DataFrame:
-    """``docs(id, text, lang, source, n_chars)`` as id, content and meta vectors."""
+def view_counts(docs: DataFrame, config: CoTrainingConfig) -> DataFrame:
+    """``docs(id, text, lang, source, n_chars, ...)`` as hashed counts of words and shapes and the meta vector.
+
+    Other columns stay. Counts take a fraction of the room of normalised vectors, as they repeat.
+    """
     text = F.col("text")
+    others = [c for c in docs.columns if c not in ("id", "text", "lang", "source", "n_chars")]
     shape = F.regexp_replace(F.regexp_replace(text, r"\p{Lu}+", F.lit("A")), r"\p{Ll}+", F.lit("a"))
     rows = docs.select(
         "*", words(F.lower(text)).alias("w"),
@@ -80,9 +87,6 @@ def view_features(docs: DataFrame, config: CoTrainingConfig) -> DataFrame:
     steps = [
         HashingTF(inputCol="w", outputCol="word_counts", numFeatures=config.word_bins),
         HashingTF(inputCol="shapes", outputCol="shape_counts", numFeatures=config.shape_bins),
-        Normalizer(inputCol="word_counts", outputCol="word_part"),
-        Normalizer(inputCol="shape_counts", outputCol="shape_part"),
-        VectorAssembler(inputCols=["word_part", "shape_part"], outputCol="content"),
         FeatureHasher(
             inputCols=["lang", "source", *NUMBERS], outputCol="meta", numFeatures=config.meta_bins,
             categoricalCols=["lang", "source"],
@@ -90,12 +94,25 @@ def view_features(docs: DataFrame, config: CoTrainingConfig) -> DataFrame:
     ]
     for step in steps:
         rows = step.transform(rows)
-    return rows.select("id", "content", "meta")
+    return rows.select("id", "word_counts", "shape_counts", "meta", *others)
+
+
+def view_features(counts: DataFrame) -> DataFrame:
+    """The counts as content and meta vectors; other columns stay."""
+    steps = [
+        Normalizer(inputCol="word_counts", outputCol="word_part"),
+        Normalizer(inputCol="shape_counts", outputCol="shape_part"),
+        VectorAssembler(inputCols=["word_part", "shape_part"], outputCol="content"),
+    ]
+    for step in steps:
+        counts = step.transform(counts)
+    return counts.drop("word_counts", "shape_counts", "word_part", "shape_part")
 
 
 def _fit(rows: DataFrame, features: str, config: CoTrainingConfig) -> LogisticRegressionModel:
     return LogisticRegression(
-        featuresCol=features, labelCol="label", maxIter=config.iterations, regParam=config.reg, standardization=False
+        featuresCol=features, labelCol="label", weightCol="weight", maxIter=config.iterations, regParam=config.reg,
+        standardization=False,
     ).fit(rows)
 
 
@@ -134,49 +151,99 @@ def first_ids(ids: DataFrame, count: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("id"), "id").limit(count)
 
 
-def co_train(docs: DataFrame, labels: DataFrame, config: CoTrainingConfig = CoTrainingConfig()) -> CoTrained | None:
-    """Fit both views on ``docs`` and ``labels(id, label)``; None if the labels do not have both classes."""
+OTHER = {"content": "meta", "meta": "content"}
+
+
+def _pass_on(rows: DataFrame, models: dict[str, LogisticRegressionModel], sure: float) -> DataFrame:
+    """``rows`` with for_content and for_meta, the labels given by the other view, if it is sure of one.
+
+    A label given in an earlier round stays.
+    """
+    edge = log(sure / (1 - sure))
+    for view, model in models.items():
+        margin, target = F.col(f"m_{view}"), f"for_{OTHER[view]}"
+        given = F.when(margin >= edge, 1.0).when(margin <= -edge, 0.0)
+        rows = _margin(model, rows, view).withColumn(target, F.coalesce(target, given)).drop(f"m_{view}")
+    return rows
+
+
+def _training(base: DataFrame, rows: DataFrame, known: dict[float, int]) -> dict[str, DataFrame]:
+    """Labelled rows and all rows passed on, by view; ``known`` counts the labelled ones of each class."""
+    sums = [F.count_if(F.col(f"for_{view}") == c).alias(f"{view}_{c:.0f}") for view in OTHER for c in known]
+    passed = rows.agg(*sums).first()
+    training = {}
+    for view in OTHER:
+        label, weight = F.col(f"for_{view}"), F.lit(0.0)
+        for c, n in known.items():
+            weight = F.when(label == c, min(1.0, n / max(passed[f"{view}_{c:.0f}"], 1))).otherwise(weight)
+        more = rows.where(label.isNotNull()).select(view, label.alias("label"), weight.alias("weight"))
+        training[view] = base.select(view, "label", F.lit(1.0).alias("weight")).unionByName(more)
+    return training
+
+
+def co_train(
+    counts: DataFrame, labels: DataFrame, config: CoTrainingConfig = CoTrainingConfig()
+) -> CoTrained | None:
+    """Fit both views on the output of ``view_counts`` and ``labels(id, label)``; None without both classes.
+
+    Rows with a null id, and labelled rows beyond the bound, take part as rows without a label.
+    """
     known = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
-    present = docs.where("id is not null").select("id").distinct()
-    taken = stored(first_ids(known.join(present, "id"), config.labelled), "co-labelled")
-    others = stored(first_ids(present.join(known, "id", "left_anti"), config.pool), "co-pool")
-    # both are bounded by the configuration
-    chosen = taken.unionByName(others.withColumn("label", F.lit(None).cast("int")))
-    part = docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    rows = view_features(part, config).join(F.broadcast(chosen), "id")
-    rows = stored(rows.repartition(4, "id"), "co-rows").withColumn("label", F.col("label").cast("double"))
-    labelled = rows.where("label is not null")
+    present = counts.where("id is not null").select("id").distinct()
     aside = F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0
-    held, base = labelled.where(aside), labelled.where(~aside)
-    counts = {(r.aside, r.label): r.n for r in labelled.groupBy(aside.alias("aside"), "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if any((a, c) not in counts for a in (True, False) for c in (0.0, 1.0)):
+    # bounded by the configuration
+    taken = first_ids(known.join(present, "id"), config.labelled).select("id", F.col("label").cast("double"), aside.alias("aside"))
+    taken = stored(taken, "co-taken")
+    sizes = {(r.aside, r.label): r.n for r in taken.groupBy("aside", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if any((a, c) not in sizes for a in (True, False) for c in (0.0, 1.0)):
         return None
-    pool = rows.where("label is null")
-    training = {"content": base, "meta": base}
-    other = {"content": "meta", "meta": "content"}
+    # the counts are parted before they become features, so the join moves no vectors
+    marked = counts.select("id", "word_counts", "shape_counts", "meta").join(F.broadcast(taken), "id", "left")
+    labelled = stored(view_features(marked.where("label is not null").dropDuplicates(["id"])), "co-labelled")
+    held, base = labelled.where("aside"), labelled.where("not aside")
+    null = F.lit(None).cast("double")
+    rows = view_features(marked.where("label is null").drop("id", "label", "aside"))
+    rows = rows.withColumns({f"for_{view}": null for view in OTHER})
+    training = {view: base.select(view, "label", F.lit(1.0).alias("weight")) for view in OTHER}
     for _ in range(config.rounds):
-        models = {view: _fit(training[view], view, config) for view in other}
-        passed = {}
-        for view, model in models.items():
-            chance = F.col(f"m_{view}")
-            edge = F.log(F.lit(config.sure / (1 - config.sure)))
-            sure = _margin(model, pool, view)
-            good = sure.where(chance >= edge).orderBy(F.desc(chance), "id").limit(config.passed).withColumn("label", F.lit(1.0))
-            bad = sure.where(chance <= -edge).orderBy(chance, "id").limit(config.passed).withColumn("label", F.lit(0.0))
-            passed[other[view]] = stored(good.unionByName(bad).drop(f"m_{view}"), "co-passed")
-        training = {view: base.unionByName(passed[view]) for view in other}
-    models = {view: _fit(training[view], view, config) for view in other}
+        models = {view: _fit(training[view], view, config) for view in OTHER}
+        rows = _pass_on(rows, models, config.sure)
+        training = _training(base, rows, {c: sizes[False, c] for c in (0.0, 1.0)})
+    models = {view: _fit(training[view], view, config) for view in OTHER}
     calibration = {}
     for view, model in models.items():
         points = _margin(model, held, view).select("label", array_to_vector(F.array(f"m_{view}")).alias("x"))
         line = LogisticRegression(featuresCol="x", labelCol="label", maxIter=50, regParam=1e-3).fit(points)
         calibration[view] = (float(line.coefficients[0]), float(line.intercept))
-    good, bad = (sum(counts[a, c] for a in (True, False)) for c in (1.0, 0.0))
-    from math import log
-
+    good, bad = (sum(sizes[a, c] for a in (True, False)) for c in (1.0, 0.0))
     return CoTrained(models, calibration, log(good / bad), config)
 
 
+def _row_key(*columns: Column) -> list[Column]:
+    """Two hashes of a whole row, never null; rows that differ in one of the columns differ in them."""
+    flags = [F.isnull(c) for c in columns]
+    return [F.xxhash64(F.lit(seed), *flags, *columns) for seed in ("first", "second")]
+
+
+def _verdicts(
+    docs: DataFrame, labels: DataFrame, names: dict[str, str], label_id: str, label_col: str, config: CoTrainingConfig
+) -> DataFrame:
+    """id, key_a and key_b (of the whole row), the three scores and kept, one row per input row."""
+    rows = clean_columns(docs, **names)
+    key_a, key_b = _row_key(*[F.col(c) for c in names])
+    rows = rows.select("*", key_a.alias("key_a"), key_b.alias("key_b"))
+    rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("text", "lang", "source")})
+    counts = stored(view_counts(rows, config), "co-counts")
+    trained = co_train(counts, clean_columns(labels, id=label_id, label=label_col), config)
+    scores = ["content_score", "meta_score", "score"]
+    if trained is None:
+        scored = counts.withColumns({c: F.lit(None).cast("double") for c in scores})
+    else:
+        scored = trained.score(view_features(counts))
+    kept = F.coalesce(F.col("score") >= config.min_score, F.lit(True))
+    return scored.select("id", "key_a", "key_b", *scores, kept.alias("kept"))
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     source_col: str = "source", size_col: str = "n_chars", label_id: str = "doc_id", label_col: str = "quality",
@@ -185,24 +252,27 @@ def quality_scores(
     """One row per input row: id, content_score, meta_score, score, kept (score of at least ``min_score``).
 
     Null and empty texts are scored as texts without words, null metadata as a value of its own; repeated rows get
-    equal scores. Of several labels of an id the largest counts. Without labels of both classes scores are null and
-    all rows are kept.
+    equal scores, and so do rows with a null id, which no label reaches. Of several labels of an id the largest counts.
+    Texts count whole, however long. Without labels of both classes scores are null and all rows are kept; an empty
+    table gives an empty one.
     """
     names = {"id": id_col, "text": text_col, "lang": lang_col, "source": source_col, "n_chars": size_col}
-    rows = clean_columns(docs, **names)
-    rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("text", "lang", "source")})
-    marks = clean_columns(labels, id=label_id, label=label_col)
-    trained = co_train(rows, marks, config)
-    if trained is None:
-        null = F.lit(None).cast("double")
-        scored = rows.select("id", null.alias("content_score"), null.alias("meta_score"), null.alias("score"))
-    else:
-        scored = trained.score(view_features(rows, config)).select("id", "content_score", "meta_score", "score")
-    kept = F.coalesce(F.col("score") >= config.min_score, F.lit(True))
-    return scored.select(F.col("id").alias(id_col), "content_score", "meta_score", "score", kept.alias("kept"))
+    scored = _verdicts(docs, labels, names, label_id, label_col, config)
+    return scored.select(F.col("id").alias(id_col), "content_score", "meta_score", "score", "kept")
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    bad = quality_scores(docs, labels, id_col, **options).where(~F.col("kept")).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
+def good_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    source_col: str = "source", size_col: str = "n_chars", label_id: str = "doc_id", label_col: str = "quality",
+    config: CoTrainingConfig = CoTrainingConfig(),
+) -> DataFrame:
+    """The rows that ``quality_scores`` keeps, with all their columns.
+
+    Rows are told apart by all that the classifier sees of them, not by the id: a bad row with a null id goes, and a
+    good one that shares its id with a bad one stays.
+    """
+    names = {"id": id_col, "text": text_col, "lang": lang_col, "source": source_col, "n_chars": size_col}
+    bad = _verdicts(docs, labels, names, label_id, label_col, config).where(~F.col("kept"))
+    bad = bad.select(F.col("key_a").alias("_bad_a"), F.col("key_b").alias("_bad_b")).distinct()
+    key_a, key_b = _row_key(*[docs[c] for c in names.values()])
+    return docs.join(bad, (key_a == bad["_bad_a"]) & (key_b == bad["_bad_b"]), "left_anti")

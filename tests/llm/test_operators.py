@@ -586,6 +586,57 @@ def test_co_training(spark, sf):
     assert scores.count() == docs.count()
 
 
+def marked_documents(spark):
+    """Short documents whose words and source both tell good from bad, a label for every fourth one."""
+    good = "the river runs north past the old mill and the town"
+    bad = "BUY now $$$ click click FREE prize $$$ win win"
+    rows = [
+        (i, f"{bad if i % 3 == 0 else good} {i % 11}", "en", "spam" if i % 3 == 0 else "wiki", None, "x", "y", "z")
+        for i in range(240)
+    ]
+    labels = [(i, int(i % 3 != 0)) for i in range(0, 240, 4)]
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int"), good, bad
+
+
+def test_co_training_passes_all_sure_rows(spark):
+    """Every row without a label is looked at in a round, labels once given stay, and the passed rows are weighed."""
+    docs, labels, _, _ = marked_documents(spark)
+    config = cotraining.CoTrainingConfig(rounds=2, sure=0.6)
+    named = docs.select(F.col("doc_id").alias("id"), "text", "lang", "source", "n_chars")
+    counts = cotraining.view_counts(named, config)
+    trained = cotraining.co_train(counts, labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")), config)
+    free = docs.join(labels, "doc_id", "left_anti").count()
+    rows = cotraining.view_features(counts.join(labels, counts["id"] == labels["doc_id"], "left_anti"))
+    null = F.lit(None).cast("double")
+    passed = cotraining._pass_on(rows.withColumns({"for_content": null, "for_meta": null}), trained.models, config.sure)
+    truth = (F.col("id") % 3 != 0).cast("double")
+    assert passed.where((F.col("for_content") == truth) & (F.col("for_meta") == truth)).count() == free == 180
+    # a label of an earlier round is not overwritten
+    again = cotraining._pass_on(passed.withColumn("for_content", 1 - F.col("for_content")), trained.models, config.sure)
+    assert again.where(F.col("for_content") == 1 - truth).count() == free
+    # the rows passed on weigh as much as the labelled ones of their class
+    base = rows.limit(0).withColumn("label", null)
+    training = cotraining._training(base, passed, {0.0: 12, 1.0: 30})
+    for view in ("content", "meta"):
+        weights = {r.label: r.w for r in training[view].groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+        assert weights == {0.0: pytest.approx(12), 1.0: pytest.approx(30)}
+
+
+def test_good_documents_by_row(spark):
+    """Verdicts belong to rows: null ids and shared ids neither save a bad row nor take a good one away."""
+    docs, labels, good, bad = marked_documents(spark)
+    more = [
+        (None, bad, "en", "spam", None, "x", "y", "z"), (None, good, "en", "wiki", None, "x", "y", "z"),
+        (900, bad, "en", "spam", None, "x", "y", "z"), (900, good, "en", "wiki", None, "x", "y", "z"),
+        (900, good, "en", "wiki", None, "x", "y", "z"),
+    ]
+    kept = cotraining.good_documents(docs.unionByName(spark.createDataFrame(more, DOCS)), labels)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.where("doc_id < 900").collect()) == [i for i in range(240) if i % 3]
+    assert [r.text for r in kept.where("doc_id is null").collect()] == [good]
+    assert [r.text for r in kept.where("doc_id = 900").collect()] == [good, good]
+
+
 # --- odd input -------------------------------------------------------------
 
 RUNS = {
