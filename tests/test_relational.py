@@ -32,6 +32,23 @@ def test_attach(spark, hot, limit, how):
     assert sorted(map(tuple, got.select(cols).collect()), key=str) == sorted(map(tuple, want.select(cols).collect()), key=str)
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_attach_never_broadcasts_a_large_side(spark, hot, tmp_path, adaptive):
+    """The files of the side are far below Spark's own bound, its rows are not small."""
+    spark.range(0, 30).select((F.col("id") * 2).alias("k"), (F.col("id") * 10).alias("w")).write.parquet(str(tmp_path / "side"))
+    side = spark.read.parquet(str(tmp_path / "side"))
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        got = R.attach(hot, side, ["k"], ["id"], limit=5)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert ("Generate explode" in plan) == (adaptive == "false")
+    assert sorted(map(str, rows)) == sorted(map(str, hot.join(side, "k", "left").select(got.columns).collect()))
+
+
 @pytest.mark.parametrize("limit", PATHS)
 @pytest.mark.parametrize("desc", [True, False])
 def test_running_by_value(hot, limit, desc):
