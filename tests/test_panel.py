@@ -101,3 +101,22 @@ def test_product_sample_is_repeatable(spark, sf, n):
     two = {r[0] for r in P.sample_products(p.repartition(3), n, 7).select("product_id").distinct().collect()}
     assert one == two and len(one) == n
     assert P.sample_products(p, n, 7).count() == p.where(F.col("product_id").isin(list(one))).count()
+
+
+def test_packed_panel_is_the_panel(spark):
+    """Nulls, gaps, repeated facts and facts without a flag: the same rows, whatever the parts."""
+    rows = [*SMALL, (None, 10, 202001, 1, 2.0, 1.0), (1, None, 202002, 0, 2.0, 1.0), (1, 10, None, 0, 3.0, 1.0), (3, 11, 202003, None, 4.0, None), (4, 12, None, None, 4.0, 1.0)]
+    f = facts(spark, rows)
+    want = rows_of(P.pair_panel(f), *P.GRAIN)
+    for parts in (None, 1, 3):
+        got = P.unpacked(P.packed_panel(f, parts=parts))
+        assert got.columns == P.pair_panel(f).columns
+        assert rows_of(got, *P.GRAIN) == want
+
+
+def test_windows_over_the_kept_panel_need_no_shuffle(spark, sf):
+    from lagfield.functions import series as S
+
+    lagged = Q.panel(spark, sf).select(*P.GRAIN, S.lag("tn", 1, S.series(P.PAIR)).alias("before"))
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and "Exchange" not in plan
