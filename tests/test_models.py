@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from lagfield.operators import leaderboard as L
 from lagfield.operators import naive as N
 from lagfield.operators.hurdle import predict_variant, usable_features
-from lagfield.operators.learners import TreeParams, boosted_l1, design, least_squares, steady_rows, tweedie_trees
+from lagfield.operators.learners import (
+    TreeParams, boosted_l1, design, least_squares, steady_parts, steady_rows, tweedie_trees,
+)
 from lagfield.operators.linear import forecast_on_lags, stock_forecast, stock_group_search
 from lagfield.operators.metrics import wape
 from lagfield.operators.product_features import regression_stock_table
@@ -210,3 +212,10 @@ def test_greedy_weights_mix_two_opposite_errors(spark):
     df = spark.createDataFrame([(10.0, 8.0, 12.0), (20.0, 18.0, 22.0)], "tn_real double, low double, high double")
     for metric in ("wape", "rmse"):
         assert L.ensemble_weights(df, ["low", "high"], metric) == {"low": 0.5, "high": 0.5}
+
+
+def test_training_partitions_are_bounded_by_full_ones():
+    """The old cut, one part per 5,000 rows, gave 5,001 parts for 25 million rows."""
+    assert [steady_parts(n) for n in (0, 4_999, 7_000, 200_000)] == [1, 1, 2, 41]
+    assert steady_parts(2_000_000) == 48
+    assert steady_parts(25_000_000) == 101
