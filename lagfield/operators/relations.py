@@ -133,24 +133,23 @@ def with_level_totals(pairs: DataFrame, totals: DataFrame, products: DataFrame,
     """Rows of customer, product and month with the year-on-year ratio and their share of every level.
 
     The levels of a product are gathered in one table by product and month, so a large table of pairs meets two side
-    tables, that and the customers', whatever the number of levels.
+    tables, that and the customers', whatever the number of levels. A level of few members is broadcast to that table;
+    nothing is repeated per level.
     """
     by_product = [c for c in levels if c != "customer_id"]
-    own = pairs.select("product_id", "periodo").distinct().join(products.select("product_id", *[c for c in levels if c not in PAIR]), "product_id", "left")
-    members = F.array(
-        F.struct(F.lit(UNIVERSE).alias("level"), F.lit(UNIVERSE).alias("member")),
-        *[F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("member")) for c in by_product],
-    )
-    asked = own.select("product_id", "periodo", F.inline(members))
-    met = asked.alias("q").join(
-        totals.alias("t"),
-        (F.col("q.level") == F.col("t.level")) & (F.col("q.periodo") == F.col("t.periodo")) & F.col("q.member").eqNullSafe(F.col("t.member")),
-    )
-    value = lambda c, x: F.max(F.when(F.col("q.level") == c, F.col(f"t.{x}")))
     names = [UNIVERSE, *by_product]
-    side = met.groupBy("q.product_id", "q.periodo").agg(
-        *[value(c, x).alias(f"{x}_{c}") for c in names for x in ("tn", "yoy")]
-    )
+    # categories of a product without attributes are null, and null is a member of its own
+    member = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    own = pairs.select("product_id", "periodo").distinct()
+    attributes = products.select("product_id", *[c for c in by_product if c not in PAIR])
+    side = attach(own, stored(attributes, "level-attributes"), ["product_id"], ["periodo"])
+    side = side.withColumn(UNIVERSE, F.lit(UNIVERSE))
+    for c in names:
+        of_level = totals.where(F.col("level") == c).select(
+            member(F.col("member")).alias("_key"), "periodo", F.col("tn").alias(f"tn_{c}"), F.col("yoy").alias(f"yoy_{c}")
+        )
+        side = attach(side.withColumn("_key", member(F.col(c))), of_level, ["_key", "periodo"], ["product_id"]).drop("_key")
+    side = side.select("product_id", "periodo", *[f"{x}_{c}" for c in names for x in ("tn", "yoy")])
     out = attach(pairs, stored(side, "level-products"), ["product_id", "periodo"], ["customer_id"])
     if "customer_id" in levels:
         names = [*names, "customer_id"]
