@@ -1,9 +1,11 @@
 """Plans that must not grow with the tables: no large side broadcast, nothing repeated or read twice, bounded tasks."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lagfield.operators import pair_features as A
 from lagfield.operators import relations as Y
+from lagfield.operators import shape as D
 from lagfield.sources import testviews as V
 
 
@@ -52,3 +54,13 @@ def test_levels_are_not_repeated_per_product_month(spark, monkeypatch):
     near = lambda x: pytest.approx(x, abs=1e-5)
     assert (rows[1, 8].share_cat3, rows[2, 9].share_cat3, rows[1, 7].share_cat3) == near((6 / 8, 1 / 8, 1.0))
     assert (rows[2, 8].share_product_id, rows[2, 9].share_universe, rows[1, 7].share_customer_id) == near((1 / 7, 0.1, 0.25))
+
+
+def test_segment_profile_reads_the_series_once(spark):
+    df = spark.createDataFrame(
+        [(0, "nunca", 1, 2.0), (0, "nunca", 3, 4.0), (3, "activa", 9, 6.0)],
+        "cluster_v2 int, regime_name string, positive_months int, total_tn double",
+    )
+    profile = D.segment_profile(df.where(F.col("total_tn") > 0))
+    assert "ubquery" not in _plan(profile)
+    assert {r.cluster_v2: r.tn_share for r in profile.collect()} == pytest.approx({0: 0.5, 3: 0.5})
