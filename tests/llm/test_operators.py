@@ -691,3 +691,14 @@ def test_pipeline(spark, sf):
     assert out.where("not parity or not round_trip").count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_classifier" and len(corpus_pipeline.STAGES) == 5
     assert isinstance(out.schema["tokens"].dataType, T.ArrayType)
+
+
+def test_cotraining_layout_is_that_of_the_text(spark):
+    texts = ["Hello WORLD 123, a-b: $5.00!", "", "ÀÉ ß ٣٤ \U0001d400\U0001d401 中文 ① ǅx", "\n\t..", "A1b2-C3"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("w", F.split("text", " "))
+    text = F.col("text")
+    shape = F.regexp_replace(F.regexp_replace(text, r"\p{Lu}+", F.lit("A")), r"\p{Ll}+", F.lit("a"))
+    size = F.length(text).cast("double")
+    removed = lambda p: cotraining._share(F.length(text) - F.length(F.regexp_replace(text, p, F.lit(""))), size)
+    got = df.select(*cotraining._layout(text, shape, F.length(text)), removed(r"\p{Nd}+").alias("d"), removed(r"[^\p{L}\p{N}\s.,]+").alias("s"))
+    assert all((r.digit, r.sign) == (r.d, r.s) for r in got.collect())
