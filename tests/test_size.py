@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lagfield.operators import pair_features as A
 from lagfield.operators import shape as D
+from lagfield.session import SETTINGS, tune
 from lagfield.sources import testviews as V
 
 
@@ -44,3 +45,8 @@ def test_segment_profile_reads_the_series_once(spark):
     profile = D.segment_profile(df.where(F.col("total_tn") > 0))
     assert "ubquery" not in _plan(profile)
     assert {r.cluster_v2: r.tn_share for r in profile.collect()} == pytest.approx({0: 0.5, 3: 0.5})
+
+
+def test_tasks_take_a_bounded_part_of_a_shuffle(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert tune(spark).conf.get(name) == SETTINGS[name] == "16m"
