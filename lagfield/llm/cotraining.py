@@ -41,6 +41,7 @@ class CoTrainingConfig:
     meta_bins: int = 1 << 8
     iterations: int = 25
     reg: float = 1e-4
+    block_mb: float = 0.25
     min_score: float = 0.5
 
 
@@ -114,9 +115,10 @@ def view_features(counts: DataFrame) -> DataFrame:
 
 
 def _fit(rows: DataFrame, features: str, config: CoTrainingConfig) -> LogisticRegressionModel:
+    # blocks of the default size are arrays of half a region of the heap and more, which the JVM can neither move nor pack
     return LogisticRegression(
         featuresCol=features, labelCol="label", weightCol="weight", maxIter=config.iterations, regParam=config.reg,
-        standardization=False,
+        standardization=False, maxBlockSizeInMB=config.block_mb,
     ).fit(rows)
 
 
@@ -185,6 +187,16 @@ def _training(base: DataFrame, rows: DataFrame, known: dict[float, int]) -> dict
     return training
 
 
+def mark_labelled(rows: DataFrame, labels: DataFrame, config: CoTrainingConfig) -> DataFrame:
+    """``rows`` with label and aside, whether it is kept for calibration; both null without a label that is used."""
+    known = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
+    present = rows.where("id is not null").select("id").distinct()
+    aside = F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0
+    # bounded by the configuration
+    taken = first_ids(known.join(present, "id"), config.labelled).select("id", F.col("label").cast("double"), aside.alias("aside"))
+    return rows.join(F.broadcast(stored(taken, "co-taken")), "id", "left")
+
+
 def co_train(
     counts: DataFrame, labels: DataFrame, config: CoTrainingConfig = CoTrainingConfig()
 ) -> CoTrained | None:
@@ -192,18 +204,16 @@ def co_train(
 
     Rows with a null id, and labelled rows beyond the bound, take part as rows without a label.
     """
-    known = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
-    present = counts.where("id is not null").select("id").distinct()
-    aside = F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0
-    # bounded by the configuration
-    taken = first_ids(known.join(present, "id"), config.labelled).select("id", F.col("label").cast("double"), aside.alias("aside"))
-    taken = stored(taken, "co-taken")
-    sizes = {(r.aside, r.label): r.n for r in taken.groupBy("aside", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return co_train_marked(stored(mark_labelled(counts, labels, config), "co-marked"), config)
+
+
+def co_train_marked(marked: DataFrame, config: CoTrainingConfig = CoTrainingConfig()) -> CoTrained | None:
+    """``co_train`` on counts that ``mark_labelled`` marked and that are stored, as they are gone through many times."""
+    marked = marked.select("id", "word_counts", "shape_counts", "meta", "label", "aside")
+    labelled = stored(view_features(marked.where("label is not null").dropDuplicates(["id"])), "co-labelled")
+    sizes = {(r.aside, r.label): r.n for r in labelled.groupBy("aside", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any((a, c) not in sizes for a in (True, False) for c in (0.0, 1.0)):
         return None
-    # the counts are parted before they become features, so the join moves no vectors
-    marked = counts.select("id", "word_counts", "shape_counts", "meta").join(F.broadcast(taken), "id", "left")
-    labelled = stored(view_features(marked.where("label is not null").dropDuplicates(["id"])), "co-labelled")
     held, base = labelled.where("aside"), labelled.where("not aside")
     null = F.lit(None).cast("double")
     rows = view_features(marked.where("label is null").drop("id", "label", "aside"))
@@ -237,13 +247,15 @@ def _verdicts(
     key_a, key_b = _row_key(*[F.col(c) for c in names])
     rows = rows.select("*", key_a.alias("key_a"), key_b.alias("key_b"))
     rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("text", "lang", "source")})
-    counts = stored(view_counts(rows, config), "co-counts")
-    trained = co_train(counts, clean_columns(labels, id=label_id, label=label_col), config)
+    # labels are joined once, before the counts are stored, and not in every pass over these
+    marked = mark_labelled(rows, clean_columns(labels, id=label_id, label=label_col), config)
+    counts = stored(view_counts(marked, config), "co-counts")
+    trained = co_train_marked(counts, config)
     scores = ["content_score", "meta_score", "score"]
     if trained is None:
         scored = counts.withColumns({c: F.lit(None).cast("double") for c in scores})
     else:
-        scored = trained.score(view_features(counts))
+        scored = trained.score(view_features(counts.drop("label", "aside")))
     kept = F.coalesce(F.col("score") >= config.min_score, F.lit(True))
     return scored.select("id", "key_a", "key_b", *scores, kept.alias("kept"))
 

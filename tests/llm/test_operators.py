@@ -622,6 +622,22 @@ def test_co_training_passes_all_sure_rows(spark):
         assert weights == {0.0: pytest.approx(12), 1.0: pytest.approx(30)}
 
 
+def test_co_training_joins_labels_once(spark, monkeypatch):
+    """The passes over the documents read marked rows; the join with the labels is not made again in each."""
+    docs, labels, _, _ = marked_documents(spark)
+    plans, fit = [], cotraining._fit
+
+    def seen(rows, *args):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return fit(rows, *args)
+
+    monkeypatch.setattr(cotraining, "_fit", seen)
+    config = cotraining.CoTrainingConfig(rounds=1, sure=0.6, iterations=2)
+    scores = cotraining.quality_scores(docs, labels, config=config)
+    assert scores.columns == ["doc_id", "content_score", "meta_score", "score", "kept"] and scores.count() == docs.count()
+    assert len(plans) == 4 and not any("Join" in plan for plan in plans)
+
+
 def test_good_documents_by_row(spark):
     """Verdicts belong to rows: null ids and shared ids neither save a bad row nor take a good one away."""
     docs, labels, good, bad = marked_documents(spark)
