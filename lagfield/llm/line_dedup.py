@@ -59,12 +59,15 @@ def _index(line: Column, length: Column, parts: int) -> list[Column]:
 def _probes(line: Column, length: Column, threshold: int, gap: int) -> list[Column]:
     """Keys of the substrings that may be a whole segment of a line ``gap`` characters shorter.
 
-    The shifts are those that bounded edits before the segment and behind it allow.
+    The shifts are those that bounded edits before the segment and behind it allow. A line's own segments are left out:
+    the lines that these meet are the ones that hold the same key.
     """
     found, parts, shorter = [], threshold + 1, length - gap
     for i in range(parts):
         start, size = _segment(shorter, parts, i)
         for shift in range(max(-i, gap - (threshold - i)), min(i, gap + (threshold - i)) + 1):
+            if gap == shift == 0:
+                continue
             fits = (start + shift >= 0) & (start + shift + size <= length) & (shorter >= parts)
             found.append(F.when(fits, _key(shorter, i, line, start + shift, size)))
     return found
@@ -253,22 +256,24 @@ def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFram
         some = joined.select(F.explode(F.array(*_probes(line, length, t, gap))).alias("k"), F.col("line_id").alias("b"))
         probes = some if probes is None else probes.unionByName(some)
     probes = probes.where(F.col("k").isNotNull())
-    # Most segments have one index line, met by its own probe only; what is left is small.
+    # Most segments have one index line and meet no probe; what is left is small. A segment of several lines stays without
+    # a probe, its ``b`` is null then.
     counted = entries.groupBy("k").agg(F.count(F.lit(1)).alias("held"), F.min("a").alias("a"))
     hits = stored(
-        counted.hint("shuffle_hash").join(probes, "k").where((F.col("held") > 1) | (F.col("a") != F.col("b"))), "line-hits"
+        counted.hint("shuffle_hash").join(probes, "k", "left").where((F.col("held") > 1) | (F.col("a") != F.col("b"))), "line-hits"
     )
     alone = hits.where("held = 1").select("a", "b")
     several = hits.where("held > 1").select("k", "held").distinct()
     members = stored(entries.join(several, "k"), "line-members")
+    # every line that holds a segment of several asks for it too
+    asking = hits.where("held > 1 and b is not null").select("k", "held", "b").unionByName(
+        members.select("k", "held", F.col("a").alias("b"))
+    )
     warm, hot = F.col("held") <= config.hot, F.col("held") > config.hot
-    met = members.where(warm).select("k", "a").join(hits.where(warm).select("k", "b"), "k")
+    met = members.where(warm).select("k", "a").join(asking.where(warm).select("k", "b"), "k")
     met = met.where(F.col("a") != F.col("b")).select("a", "b")
 
-    in_hot = (
-        members.where(hot).select(F.col("a").alias("line_id"))
-        .unionByName(hits.where(hot).select(F.col("b").alias("line_id"))).distinct()
-    )
+    in_hot = asking.where(hot).select(F.col("b").alias("line_id")).distinct()
     fine = stored(joined.join(in_hot, "line_id"), "line-fine")
     held = _fine_keys(fine, t, probing=False).groupBy("k").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("held"))
     # a line that alone holds a key and probes it meets nobody

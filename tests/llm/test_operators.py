@@ -653,6 +653,15 @@ def test_good_documents_by_row(spark):
     assert [r.text for r in kept.where("doc_id = 900").collect()] == [good, good]
 
 
+def test_line_probes_leave_out_own_segments(spark):
+    """A line's own segments are met by who holds them; three of twelve probes of a line were spent on these."""
+    line, n = F.lit("abcdefghijklmnop"), F.lit(16)
+    own = line_dedup._index(line, n, 3)
+    probes = [p for gap in range(3) for p in line_dedup._probes(line, n, 2, gap)]
+    row = spark.range(1).select(F.array(*own).alias("own"), F.array(*probes).alias("probes")).first()
+    assert len(row.probes) == 9 and not set(row.own) & set(row.probes)
+
+
 # --- odd input -------------------------------------------------------------
 
 RUNS = {
