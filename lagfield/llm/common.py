@@ -52,18 +52,19 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     ``component`` is the smallest id reachable. Labels are passed along the edges and then jumped (the label of
     a label), so the rounds grow with the logarithm of a chain. A hub costs one partial aggregate, not one task.
+    Labels have a row per id and are hashed part by part: by the size of its files, Spark would broadcast a large table.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.where(F.col("a") != F.col("b")).distinct(), f"{name}-edges")
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
     labels = stored(labels.select("id", F.least("id", "m").alias("component"), F.lit(True).alias("moved")), name)
     while labels.where("moved").limit(1).count():
-        seen = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("m")), "b")
+        seen = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("m")).hint("shuffle_hash"), "b")
         best = seen.groupBy(F.col("a").alias("id")).agg(F.min("m").alias("m"))
-        nearer = labels.join(best, "id").select("id", "component", F.least("component", "m").alias("next"))
+        nearer = labels.join(best.hint("shuffle_hash"), "id").select("id", "component", F.least("component", "m").alias("next"))
         jump = labels.select(F.col("id").alias("next"), F.col("component").alias("far"))
         labels = stored(
-            nearer.join(jump, "next").select(
+            nearer.join(jump.hint("shuffle_hash"), "next").select(
                 "id",
                 F.least("next", "far").alias("component"),
                 (F.least("next", "far") != F.col("component")).alias("moved"),

@@ -229,9 +229,9 @@ def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     # only the texts of paired lines are moved; a line of many pairs may be a skewed key in the joins behind
     pairs = stored(pairs, "line-pairs")
     paired = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
-    lines = stored(lines.join(paired, "line_id"), "line-paired")
-    left = pairs.join(lines.select(F.col("line_id").alias("a"), text.alias("x")), "a")
-    both = left.join(lines.select(F.col("line_id").alias("b"), text.alias("y")), "b")
+    lines = stored(lines.join(paired.hint("shuffle_hash"), "line_id"), "line-paired")
+    left = pairs.join(lines.select(F.col("line_id").alias("a"), text.alias("x")).hint("merge"), "a")
+    both = left.join(lines.select(F.col("line_id").alias("b"), text.alias("y")).hint("merge"), "b")
     both = both.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     both = both.select("a", "b", F.col("x.n").alias("n"), F.col("x.line").alias("x"), F.col("y.line").alias("y"))
     rough = _mostly_whole(F.col("x"), F.col("n"), F.col("y"), PARTS, threshold)
@@ -243,7 +243,11 @@ def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
 
 
 def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
-    """``(id, component)`` for the lines that have another one within the threshold: the connected groups of these."""
+    """``(id, component)`` for the lines that have another one within the threshold: the connected groups of these.
+
+    No side of a join is broadcast by the size of its files, which says little: line numbers that follow one another
+    take a hundredth of their room there. A side with a row per key is hashed part by part, others are merged.
+    """
     t = config.threshold
     # the length of a line is counted once, not for each of its segments
     joined = lines.where(F.length("line") >= max(config.min_chars, t + 1))
@@ -264,20 +268,20 @@ def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     )
     alone = hits.where("held = 1").select("a", "b")
     several = hits.where("held > 1").select("k", "held").distinct()
-    members = stored(entries.join(several, "k"), "line-members")
+    members = stored(entries.join(several.hint("shuffle_hash"), "k"), "line-members")
     # every line that holds a segment of several asks for it too
     asking = hits.where("held > 1 and b is not null").select("k", "held", "b").unionByName(
         members.select("k", "held", F.col("a").alias("b"))
     )
     warm, hot = F.col("held") <= config.hot, F.col("held") > config.hot
-    met = members.where(warm).select("k", "a").join(asking.where(warm).select("k", "b"), "k")
+    met = members.where(warm).select("k", "a").join(asking.where(warm).select("k", "b").hint("merge"), "k")
     met = met.where(F.col("a") != F.col("b")).select("a", "b")
 
     in_hot = asking.where(hot).select(F.col("b").alias("line_id")).distinct()
-    fine = stored(joined.join(in_hot, "line_id"), "line-fine")
+    fine = stored(joined.join(in_hot.hint("shuffle_hash"), "line_id"), "line-fine")
     held = _fine_keys(fine, t, probing=False).groupBy("k").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("held"))
     # a line that alone holds a key and probes it meets nobody
-    asks = _fine_keys(fine, t, probing=True).join(held, "k").where("held > 1 or first <> line_id")
+    asks = _fine_keys(fine, t, probing=True).join(held.hint("shuffle_hash"), "k").where("held > 1 or first <> line_id")
     asks = stored(asks.select("k", F.col("line_id").alias("b"), "rest", "first", "held"), "line-asks")
     # each line that asks meets one line of the key; every line that holds the key asks for it too
     star = asks.where(F.col("first") != F.col("b")).select(F.col("first").alias("a"), "b")
@@ -286,18 +290,18 @@ def line_groups(lines: DataFrame, config: LineConfig = LineConfig()) -> DataFram
 
     # what meets in a key held by several lines and is not of one group yet
     group = groups.withColumnRenamed("component", "group")
-    open_keys = asks.where("held > 1").join(group.withColumnRenamed("id", "b"), "b", "left").select(
+    open_keys = asks.where("held > 1").join(group.withColumnRenamed("id", "b").hint("shuffle_hash"), "b", "left").select(
         "k", "b", "rest", F.coalesce("group", "b").alias("group")
     )
     mixed = open_keys.groupBy("k").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    open_keys = stored(open_keys.join(mixed.select("k"), "k"), "line-open")
-    holders = _fine_keys(fine, t, probing=False).join(mixed.select("k"), "k")
-    holders = holders.join(group.withColumnRenamed("id", "line_id"), "line_id", "left").select(
+    open_keys = stored(open_keys.join(mixed.select("k").hint("shuffle_hash"), "k"), "line-open")
+    holders = _fine_keys(fine, t, probing=False).join(mixed.select("k").hint("shuffle_hash"), "k")
+    holders = holders.join(group.withColumnRenamed("id", "line_id").hint("shuffle_hash"), "line_id", "left").select(
         F.col("k").alias("held_k"), F.col("line_id").alias("a"), F.col("rest").alias("own"), F.coalesce("group", "line_id").alias("of")
     )
     # lines of one key differ in ``rest`` only, a few characters, so most pairs are settled by these
     like = F.levenshtein("own", "rest", t) >= 0
-    rest = holders.join(open_keys, (F.col("held_k") == F.col("k")) & (F.col("of") != F.col("group")) & like).select("a", "b")
+    rest = holders.join(open_keys.hint("merge"), (F.col("held_k") == F.col("k")) & (F.col("of") != F.col("group")) & like).select("a", "b")
     more = _close(rest, joined, t)
     if more.isEmpty():
         return groups
@@ -313,10 +317,10 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     lines = distinct_lines(docs)
     groups = line_groups(lines, config)
     grouped = groups.withColumnRenamed("id", "line_id")
-    member = grouped.join(lines.select("line_id", "first"), "line_id")
+    member = lines.select("line_id", "first").join(grouped.hint("shuffle_hash"), "line_id")
     place = member.groupBy("component").agg(F.min("first").alias("class_first"), F.count(F.lit(1)).alias("class_lines"))
-    named = grouped.join(place, "component").drop("component")
-    return lines.join(named, "line_id", "left").select(
+    named = grouped.join(place.hint("shuffle_hash"), "component").drop("component")
+    return lines.join(named.hint("shuffle_hash"), "line_id", "left").select(
         "line", "copies", "first", F.coalesce("class_first", "first").alias("class_first"),
         F.coalesce("class_lines", F.lit(1).cast("long")).alias("class_lines"),
     )
